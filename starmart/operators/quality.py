@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from starmart.contracts import TableContract
 from starmart.operators.shape import cast_columns
 
+CHECK_COLUMNS = ("table", "check", "observed", "passed")
+
 
 def _col(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -189,30 +191,79 @@ def source_target_counts(
     )
 
 
+def _filled_and_keyed(name: str, df: DataFrame, contract: TableContract) -> DataFrame:
+    """Rows and NULL keys of a table from one pass."""
+    nulls = sum((F.count_if(_col(c).isNull()) for c in contract.not_null), F.lit(0))
+    totals = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"))
+    rows, nulls = F.col("rows"), F.col("nulls")
+    entries = [
+        (F.lit(name), F.lit("non_empty"), rows, rows > 0),
+        (F.lit(name), F.lit("not_null"), nulls, nulls == 0),
+    ]
+    return _per_column(totals, entries, CHECK_COLUMNS)
+
+
+def _references(
+    name: str, tables: Mapping[str, DataFrame], contract: TableContract
+) -> DataFrame:
+    """Rows that refer to nothing, per foreign key, from one pass over the table.
+
+    Codes of all foreign keys are counted together; only the distinct ones are joined.
+    """
+    links = contract.foreign_keys
+    codes = [
+        F.struct(
+            F.lit(column).alias("link"),
+            F.lit(other).alias("other"),
+            _col(column).cast("string").alias("code"),
+        )
+        for column, (other, _) in links.items()
+    ]
+    used = (
+        tables[name]
+        .select(F.inline(F.array(*codes)))
+        .where(F.col("code").isNotNull())
+        .groupBy("link", "other", "code")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = _union(
+        [
+            tables[other].select(
+                F.lit(other).alias("other"), _col(key).cast("string").alias("code")
+            )
+            for other, key in dict.fromkeys(links.values())
+        ]
+    )
+    lost = used.join(known, ["other", "code"], "left_anti")
+    totals = lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("link") == column, F.col("n"))), F.lit(0)).alias(f"n{i}")
+            for i, column in enumerate(links)
+        ]
+    )
+    entries = []
+    for i, (column, (other, _)) in enumerate(links.items()):
+        n = F.col(f"n{i}")
+        entries.append((F.lit(name), F.lit(f"references_{other}:{column}"), n, n == 0))
+    return _per_column(totals, entries, CHECK_COLUMNS)
+
+
 def check_star(
     tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]
 ) -> DataFrame:
     """(table, check, observed, passed) for all tables: filled, unique, keyed, referenced."""
-    parts = [non_empty(tables)]
-
-    def violations(name: str, check: str, count: DataFrame) -> DataFrame:
-        return count.select(
-            F.lit(name).alias("table"),
-            F.lit(check).alias("check"),
-            F.col("n").alias("observed"),
-            (F.col("n") == 0).alias("passed"),
-        )
-
+    parts = []
     for name, contract in contracts.items():
         df = tables[name]
         dups = duplicate_keys(df, contract.primary_key).agg(F.count(F.lit(1)).alias("n"))
-        nulls = null_keys(df, contract.not_null).agg(F.sum("nulls").alias("n"))
-        parts += [violations(name, "unique_key", dups), violations(name, "not_null", nulls)]
-        for column, (other, key) in contract.foreign_keys.items():
-            lost = orphans(df, column, tables[other], key).agg(
-                F.coalesce(F.sum("visits"), F.lit(0)).alias("n")
-            )
-            parts.append(violations(name, f"references_{other}:{column}", lost))
+        n = F.col("n")
+        unique = (F.lit(name), F.lit("unique_key"), n, n == 0)
+        parts += [
+            _filled_and_keyed(name, df, contract),
+            _per_column(dups, [unique], CHECK_COLUMNS),
+        ]
+        if contract.foreign_keys:
+            parts.append(_references(name, tables, contract))
     return _union(parts)
 
 

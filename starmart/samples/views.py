@@ -7,6 +7,7 @@ feed none of them are not built.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ LOOKUP_OVERRIDES = [
 ]
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its footer is read once per session, not once per query."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
