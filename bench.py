@@ -72,9 +72,11 @@ def bench_queries(spark, sf_dir: str, runs: int) -> dict[str, float]:
 def bench_fact(spark, sf_dir: str, runs: int, rows: int) -> dict[str, float]:
     """Arrivals as stored Parquet to fact, dates and one report, at a given size."""
     raw = views.visits_raw(spark, sf_dir)
-    copies = -(-rows // raw.count())
+    n = raw.count()
+    copies = F.explode(F.sequence(F.lit(0), F.lit(-(-rows // n) - 1)))
     source, target = scratch_dir(spark, "arrivals"), scratch_dir(spark, "visits")
-    save(raw.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))), source)
+    repeated = raw.repartition(32).withColumn("copy", copies)
+    save(repeated.withColumn("cicid", F.col("cicid") + F.col("copy") * n).drop("copy"), source)
     arrivals = read_source(spark, source, "parquet")
     fact = facts.visits(arrivals)
     return {

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.contracts import STAR
 from starmart.operators import dims, facts, quality
@@ -155,13 +158,39 @@ def build_star(
     return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
+def in_months(months: Sequence[tuple[int, int]]) -> Column:
+    """Whether a visit lies in one of the months, on partition columns alone."""
+    year, month = (F.col(c) for c in MONTH)
+    return reduce(or_, [(year == y) & (month == m) for y, m in months], F.lit(False))
+
+
 def load_star(
-    spark: SparkSession, tables: Mapping[str, DataFrame], prefix: str = "", mode: str = "append"
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    prefix: str = "",
+    mode: str = "refresh",
+    partition_by: Sequence[str] = MONTH,
+    months: Sequence[tuple[int, int]] | None = None,
 ) -> dict[str, str]:
-    """Load each staged table into its contract table, then check that all are filled."""
-    names = {
-        name: load_table(tables[name], contract, f"{prefix}{name}", mode)
-        for name, contract in STAR.items()
-    }
+    """Load each staged table into its contract table, then check that all are filled.
+
+    The fact is partitioned by month. With ``refresh`` its months in ``tables`` replace those
+    loaded before and the dimensions, which are small, are replaced whole; a repeated load
+    changes nothing. ``append`` adds every row to what is there. ``months``, as (year, month),
+    keeps the load of the fact to those: staged partitions of other months are not read.
+    """
+    names = {}
+    for name, contract in STAR.items():
+        is_fact = bool(contract.foreign_keys)
+        rows = tables[name]
+        if is_fact and months is not None:
+            rows = rows.where(in_months(months))
+        names[name] = load_table(
+            rows,
+            contract,
+            f"{prefix}{name}",
+            mode="overwrite" if mode == "refresh" and not is_fact else mode,
+            partition_by=partition_by if is_fact else None,
+        )
     quality.assert_passed(quality.non_empty({n: spark.table(n) for n in names.values()}))
     return names

@@ -17,12 +17,15 @@ DEFAULTS = {
 }
 
 
-def get_or_create(app_name: str = "starmart", **conf: str) -> SparkSession:
+def get_or_create(app_name: str = "starmart", hive: bool = False, **conf: str) -> SparkSession:
     """A session with our SQL defaults; ``conf`` entries (dots as ``__``) override them.
 
+    ``hive`` keeps the tables in a Hive metastore, so that they outlive the session.
     Cluster sizing (executors, memory, shuffle partitions) is left to spark-submit.
     """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     settings = {**DEFAULTS, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)

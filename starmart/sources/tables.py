@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.contracts import TableContract, conform
 from starmart.sources.files import save
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserting into a table takes this setting from the session only."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
 
 def load_table(
     df: DataFrame,
@@ -16,14 +31,32 @@ def load_table(
     table: str | None = None,
     mode: str = "append",
     path: str | None = None,
+    partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> str:
     """Load rows into a catalog table in the contract's layout; returns the table name.
 
-    ``path`` places a new table outside the warehouse folder.
+    ``mode`` is ``append``, ``overwrite``, or ``refresh``: replace just the partitions that
+    occur in the rows, so that loading one delivery twice changes nothing. ``path`` places
+    a new table outside the warehouse folder.
     """
     name = table or contract.name
-    writer = conform(df, contract).write.mode(mode).format(fmt)
+    rows = conform(df, contract)
+    if partition_by:
+        rows = rows.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+    if mode == "refresh":
+        if not partition_by:
+            raise ValueError("a refresh needs the partition columns")
+        if df.sparkSession.catalog.tableExists(name):
+            # Inserts go by position: take the order of the table, where partitions are last.
+            ordered = rows.select(*[f"`{c}`" for c in df.sparkSession.table(name).columns])
+            with _dynamic_overwrite(df.sparkSession):
+                ordered.write.mode("overwrite").insertInto(name)
+            return name
+        mode = "append"
+    writer = rows.write.mode(mode).format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -38,7 +71,7 @@ def upsert_partitions(
 ) -> None:
     """Replace just the partitions that occur in ``df``; all others stay as they are.
 
-    Running one delivery twice leaves the same table, so a retried load is harmless.
+    Running one delivery twice leaves the same rows, so a retried load is harmless.
     """
     save(
         df,

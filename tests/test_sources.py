@@ -110,6 +110,21 @@ def test_load_maps_by_name_and_appends(spark, rows):
         load_table(dates.drop("weekofyear"), contracts.DATE, "never")
 
 
+def test_table_refresh_replaces_only_delivered_months(spark, visits, rows):
+    contract = contracts.TableContract("visits", visits.schema, ("cicid",))
+    months = ["i94yr", "i94mon"]
+    load_table(visits, contract, "monthly", "refresh", partition_by=months)
+    again = visits.where("i94mon = 5").withColumn("batch", F.lit("second"))
+    for _ in range(2):
+        load_table(again, contract, "monthly", "refresh", partition_by=months)
+        got = rows(spark.table("monthly").groupBy("i94mon", "batch").count())
+        assert {(m, b) for m, b, _ in got} == {(4, "first"), (5, "second"), (6, "first")}
+        assert sum(n for *_, n in got) == 4000
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    with pytest.raises(ValueError, match="partition columns"):
+        load_table(visits, contract, "monthly", "refresh")
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
