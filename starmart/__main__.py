@@ -21,9 +21,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--months", nargs="*", help="load the fact of these only: 2016-04 ...")
     parser.add_argument("--prefix", default="", help="prefix of the contract tables' names")
     parser.add_argument("--hive", action="store_true", help="keep tables in a Hive metastore")
+    parser.add_argument("--input-bytes", type=int, help="size of the largest source")
     args = parser.parse_args(argv)
 
-    spark = get_or_create(hive=args.hive)
+    spark = get_or_create(hive=args.hive, input_bytes=args.input_bytes)
     sources = star.Sources(
         immigration=args.immigration,
         temperature=args.temperature,

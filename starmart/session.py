@@ -17,16 +17,34 @@ DEFAULTS = {
 }
 
 
-def get_or_create(app_name: str = "starmart", hive: bool = False, **conf: str) -> SparkSession:
+# One shuffle partition per this much input. Adaptive execution merges partitions that turn
+# out small but cannot add any, so the number is set for the largest shuffle.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, least: int = 200, most: int = 100_000) -> int:
+    return max(least, min(most, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def get_or_create(
+    app_name: str = "starmart",
+    hive: bool = False,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with our SQL defaults; ``conf`` entries (dots as ``__``) override them.
 
     ``hive`` keeps the tables in a Hive metastore, so that they outlive the session.
-    Cluster sizing (executors, memory, shuffle partitions) is left to spark-submit.
+    ``input_bytes``, the size of the largest source, sets the number of shuffle partitions.
+    Executors and memory are left to spark-submit.
     """
     builder = SparkSession.builder.appName(app_name)
     if hive:
         builder = builder.enableHiveSupport()
-    settings = {**DEFAULTS, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    settings = {**DEFAULTS, **sized, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
