@@ -4,36 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 8 * 1024 * 1024
+
 # Codes of the mode of transportation and of the visa category.
 MODES = {1: "Air", 2: "Sea", 3: "Land", 9: "Not reported"}
 VISAS = {1: "Business", 2: "Pleasure", 3: "Student"}
 
-BROADCAST_ROWS = 10_000
-BROADCAST_BYTES = 8 * 1024 * 1024
-
 
-def code_table(
-    spark: SparkSession, codes: Mapping[int, str], code: str, value: str
-) -> DataFrame:
-    return spark.createDataFrame(list(codes.items()), f"{code} int, {value} string")
+def decode_fixed(df: DataFrame, codes: Mapping[int, str], key: str, output: str) -> DataFrame:
+    """Add ``output``: the text of a code from a handful of fixed ones, else NULL."""
+    entries = [F.lit(x) for code, text in codes.items() for x in (code, text)]
+    return df.withColumn(output, F.try_element_at(F.create_map(*entries), F.col(f"`{key}`")))
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether a DataFrame is proven small. Reads at most ``max_rows + 1`` of its rows."""
+    """Whether a DataFrame is proven small, by counting its rows and bytes in one pass.
+
+    Each task sends one row of totals, so asking this of a large DataFrame is cheap next to
+    the join it decides on.
+    """
     width = sum(
         (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
         F.lit(0),
     )
-    probe = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size"))
-        .first()
-    )
+    probe = df.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
+    ).first()
     return probe["n"] <= max_rows and probe["size"] <= max_bytes
 
 

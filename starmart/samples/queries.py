@@ -14,7 +14,14 @@ from starmart.plans import analytics
 from starmart.plans.star import MONTH
 from starmart.samples import views
 from starmart.session import scratch_dir
-from starmart.sources import land, load_table, read_source, save, upsert_partitions
+from starmart.sources import (
+    land,
+    load_table,
+    read_lookup,
+    read_source,
+    save,
+    upsert_partitions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,12 +276,12 @@ def lower_key_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lookup_decode(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "ports")
+    save(views.port_lookup(spark, sf), path, fmt="csv", header=True)
     fact = _fact(spark, sf, "cicid", "i94mode", "i94visa", "i94port")
-    modes = joins.code_table(spark, joins.MODES, "ID", "Mode")
-    visas = joins.code_table(spark, joins.VISAS, "ID", "Type")
-    fact = joins.decode(fact, modes, "i94mode", "ID", "Mode", "mode")
-    fact = joins.decode(fact, visas, "i94visa", "ID", "Type", "visa")
-    return joins.decode(fact, views.port_lookup(spark, sf), "i94port", "ID", "Port", "port")
+    fact = joins.decode_fixed(fact, joins.MODES, "i94mode", "mode")
+    fact = joins.decode_fixed(fact, joins.VISAS, "i94visa", "visa")
+    return joins.decode(fact, read_lookup(spark, path), "i94port", "ID", "Port", "port")
 
 
 # -- aggregates --------------------------------------------------------------------------

@@ -46,10 +46,11 @@ def test_fill_zero_leaves_other_columns(spark):
 
 def test_decode_broadcasts_only_what_is_proven_small(spark, rows, plan):
     fact = spark.createDataFrame([(1, 1), (2, 9), (3, 4), (4, None)], "id int, mode int")
-    modes = joins.code_table(spark, joins.MODES, "ID", "Mode")
+    modes = spark.createDataFrame(list(joins.MODES.items()), "ID int, Mode string")
     small = joins.decode(fact, modes, "mode", "ID", "Mode", "name")
     want = [(1, 1, "Air"), (2, 9, "Not reported"), (3, 4, None), (4, None, None)]
     assert rows(small) == want
+    assert rows(joins.decode_fixed(fact, joins.MODES, "mode", "name")) == want
     assert "BroadcastHashJoin" in plan(small)
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
