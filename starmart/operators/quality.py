@@ -22,7 +22,9 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _per_column(totals: DataFrame, entries: Sequence[Sequence[Column]], names: Sequence[str]):
+def _per_column(
+    totals: DataFrame, entries: Sequence[Sequence[Column]], names: Sequence[str]
+) -> DataFrame:
     """One aggregated row to one row per entry."""
     rows = [F.struct(*[c.alias(n) for c, n in zip(entry, names)]) for entry in entries]
     return totals.select(F.inline(F.array(*rows)))

@@ -62,7 +62,11 @@ def dest_source_matrix(fact: DataFrame) -> DataFrame:
     """Visits per destination and source, with lift: observed over expected if independent."""
     cells = _cells(fact)
     total = cells.agg(F.sum("visits")).scalar()
-    lift = F.col("visits") * total / (F.col("by_addr").cast("double") * F.col("by_res"))
+    lift = (
+        F.col("visits").cast("double")
+        * total
+        / (F.col("by_addr").cast("double") * F.col("by_res"))
+    )
     return _with_margins(cells).select("i94addr", "i94res", "visits", lift.alias("lift"))
 
 

@@ -136,9 +136,11 @@ def land_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, df: DataFrame, contract: contracts.TableContract) -> DataFrame:
+    """What a load wrote. The catalog entry goes again, the table's files stay."""
     path = scratch_dir(spark, contract.name)
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
-    return spark.table(load_table(df, contract, name, path=path))
+    name = load_table(df, contract, path.rsplit("/", 1)[-1].replace("-", "_"), path=path)
+    spark.sql(f"DROP TABLE {name}")
+    return read_source(spark, path, "parquet")
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -16,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-
 # One shuffle partition per this much input. Adaptive execution merges partitions that turn
 # out small but cannot add any, so the number is set for the largest shuffle.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
@@ -50,6 +50,12 @@ def get_or_create(
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _machine_folder() -> tempfile.TemporaryDirectory:
+    """One folder per process, gone when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="starmart-", ignore_cleanup_errors=True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables that every executor can reach.
 
@@ -60,5 +66,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="starmart-")
+        base = _machine_folder().name
     return f"{base.rstrip('/')}/starmart-{label}-{uuid.uuid4().hex}"

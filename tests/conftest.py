@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = get_or_create(
         "tests",
         spark__master="local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__driver__memory="4g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

@@ -107,7 +107,8 @@ def test_matrix_and_cramers_v(frames, data):
 
 def test_climate(frames, data):
     fact, country, _ = data
-    joined = fact.dropna(subset=["i94addr"]).merge(country, left_on="i94res", right_on="Code", how="left")
+    known = fact.dropna(subset=["i94addr"])
+    joined = known.merge(country, left_on="i94res", right_on="Code", how="left")
     got = {r.i94addr: r for r in analytics.corr_dest_climate(frames[0], frames[1]).collect()}
     for addr, group in joined.groupby("i94addr"):
         assert got[addr].visits == len(group)

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.operators import aggregates, dims, facts
 
@@ -71,7 +72,8 @@ def test_city_demographics(spark):
 
 
 def test_city_demographics_equals_pivot_and_join(spark, rows):
-    raw = spark.createDataFrame(CITIES, DEMOGRAPHICS).withColumn("Count", dims.int_from_text("Count"))
+    raw = spark.createDataFrame(CITIES, DEMOGRAPHICS)
+    raw = raw.withColumn("Count", dims.int_from_text("Count"))
     pivoted = aggregates.pivot_sum(raw, dims.CITY_KEYS, "Race", "Count", dims.RACES).fillna(0)
     names = [*dims.CITY_KEYS, *dims.RACES.values()]
     columns = [f"`{n}`" for n in names]
@@ -79,6 +81,12 @@ def test_city_demographics_equals_pivot_and_join(spark, rows):
     assert got == rows(pivoted.where("State is not null"), *columns)
 
 
+def test_states_sum_to_the_cities(spark):
+    cities = dims.city_demographics(spark.createDataFrame(CITIES, DEMOGRAPHICS))
+    totals = [F.sum(m) for m in dims.STATE_MEASURES]
+    assert dims.state_rollup(cities).agg(*totals).first() == cities.agg(*totals).first()
+
+
 def test_state_dim_keeps_every_code_and_totals(spark):
     cities = dims.city_demographics(spark.createDataFrame(CITIES, DEMOGRAPHICS))
     lookup = spark.createDataFrame(
@@ -94,7 +102,12 @@ def test_state_dim_keeps_every_code_and_totals(spark):
 
 def test_country_dim_merges_overridden_names(spark):
     lookup = spark.createDataFrame(
-        [("385", "CONGO"), ("574", "INVALID: CANADA"), ("0", "INVALID: STATELESS"), ("692", "PERU")],
+        [
+            ("385", "CONGO"),
+            ("574", "INVALID: CANADA"),
+            ("0", "INVALID: STATELESS"),
+            ("692", "PERU"),
+        ],
         "Code string, I94CTRY string",
     )
     data = _readings()

@@ -15,14 +15,16 @@ def test_non_empty_and_assert(spark, rows):
 
 
 def test_duplicates(spark, rows):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c")], "k int, v string")
+    data = [(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c")]
+    df = spark.createDataFrame(data, "k int, v string")
     assert rows(quality.duplicate_keys(df, ["k"])) == [(1, 3), (None, 2)]
     assert rows(quality.duplicate_rows(df)) == [(5, 3, 2)]
     assert rows(quality.duplicate_rows(df.limit(0))) == [(0, 0, 0)]
 
 
 def test_duplicates_with_one_key_on_a_third_of_all_rows(spark, rows):
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(30000).select(key.alias("k"))
     assert rows(quality.duplicate_keys(df, ["k"])) == [(-1, 10000)]
 
 
@@ -41,7 +43,9 @@ def test_cast_failures(spark, rows):
 
 
 def test_schema_conformance_reports_missing_columns(spark):
-    df = spark.createDataFrame([("2016-04-01", 1, "4", "x")], "date string, day int, month string, year string")
+    df = spark.createDataFrame(
+        [("2016-04-01", 1, "4", "x")], "date string, day int, month string, year string"
+    )
     got = {r["column"]: r for r in quality.schema_conformance(df, contracts.DATE).collect()}
     assert len(got) == 6
     assert got["day"].passed and got["month"].passed and got["month"].actual_type == "string"
@@ -91,7 +95,8 @@ def test_check_star_finds_each_fault(spark):
         "state": spark.createDataFrame([("OR",)], "Code string"),
         "date": spark.createDataFrame([("2016-04-01",)], "date string"),
     }
-    got = {(r["table"], r["check"]): r.observed for r in quality.check_star(tables, contracts.STAR).collect()}
+    report = quality.check_star(tables, contracts.STAR).collect()
+    got = {(r["table"], r["check"]): r.observed for r in report}
     assert got[("immigration", "non_empty")] == 3
     assert got[("immigration", "not_null")] == 1
     assert got[("immigration", "unique_key")] == 1

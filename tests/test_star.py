@@ -61,7 +61,11 @@ def test_build_load_check(spark, sources, tmp_path, rows):
         ("CA", "California", 125, 7),
         ("NC", "N. Carolina", None, None),
     ]
-    assert rows(tables["immigration"], "cicid", "stay", "i94bir") == [(6, 5, 37), (7, None, 25), (8, 5, None)]
+    assert rows(tables["immigration"], "cicid", "stay", "i94bir") == [
+        (6, 5, 37),
+        (7, None, 25),
+        (8, 5, None),
+    ]
     assert tables["date"].count() == 5
     assert (tmp_path / "out" / "immigration.parquet" / "i94yr=2016" / "i94mon=5").is_dir()
 
@@ -97,7 +101,8 @@ def test_month_choice_prunes_staged_partitions(spark, sources, tmp_path, plan):
 def test_command_line(spark, sources, tmp_path, capsys):
     names = ("immigration", "temperature", "demographics", "country_lookup", "state_lookup")
     paths = [v for n in names for v in (f"--{n.replace('_', '-')}", getattr(sources, n))]
-    main([*paths, "--out", str(tmp_path / "o"), "--load", "--prefix", "cli_", "--months", "2016-04"])
+    load = ["--load", "--prefix", "cli_", "--months", "2016-04"]
+    main([*paths, "--out", str(tmp_path / "o"), *load])
     assert "references_state:i94addr" in capsys.readouterr().out
     assert spark.table("cli_immigration").count() == 2
 
