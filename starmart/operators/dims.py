@@ -126,7 +126,14 @@ def country_temperature(
         override_values(readings, overrides)
         .select(*place, double_from_text("AverageTemperature").alias("reading"))
         .groupBy(*place)
-        .agg(F.sum("reading").alias("total"), F.count("reading").alias("n"))
+        .agg(
+            F.sum("reading").alias("total"),
+            F.count("reading").alias("n"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        # Always true. A caller that reads names alone would otherwise have this step merged
+        # into the next, which keeps text in its buffers and so would sort all readings.
+        .where(F.col("rows") > 0)
     )
     located = F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull()
     return (

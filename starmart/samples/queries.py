@@ -429,7 +429,8 @@ def orphans_state(spark: SparkSession, sf: str) -> DataFrame:
 def orphans_date(spark: SparkSession, sf: str) -> DataFrame:
     """Departure dates on which nobody arrived."""
     fact = _fact(spark, sf, "arrdate", "depdate")
-    return quality.orphans(fact, "depdate", dims.date_dim(fact, ["arrdate"]), "date")
+    arrivals = dims.date_dim(_fact(spark, sf, "arrdate"), ["arrdate"])
+    return quality.orphans(fact, "depdate", arrivals, "date")
 
 
 @query

@@ -93,12 +93,15 @@ def visits_raw(
 def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as cities, market segments as races, quantities as head counts.
 
-    Line items are summed per supplier and segment before names are joined on.
+    Orders find their segment before they meet the line items, which are then moved once,
+    and summed per supplier and segment before names are joined on.
     """
     lineitem = table(spark, sf_dir, "lineitem")
+    bought = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")
+    )
     segments = (
-        lineitem.join(table(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+        lineitem.join(bought, F.col("o_orderkey") == F.col("l_orderkey"))
         .where(~((F.col("l_suppkey") % 4 == 0) & (F.col("c_mktsegment") == "BUILDING")))
         .groupBy("l_suppkey", "c_mktsegment")
         .agg(F.sum("l_quantity").alias("quantity"))
@@ -139,11 +142,13 @@ def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as readings, taken where the customer of the event lives."""
     key = F.col("c_custkey")
+    nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 3)
+    homes = table(spark, sf_dir, "customer").join(
+        nations, F.col("n_nationkey") == F.col("c_nationkey")
+    )
     return (
         table(spark, sf_dir, "events")
-        .join(table(spark, sf_dir, "customer"), F.col("user_id") == key)
-        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .where(F.col("n_regionkey") != 3)
+        .join(homes, F.col("user_id") == key)
         .select(
             F.col("ts").cast("date").cast("string").alias("dt"),
             F.when(F.col("event_id") % 11 != 0, F.col("value").cast("string")).alias(
