@@ -28,11 +28,13 @@ def build_visits(
     partition_by: Sequence[str] | None = MONTH,
     columns_to_save: str | Sequence[str] = "*",
     refresh: bool = False,
+    rebalance: bool = True,
     **options,
 ) -> DataFrame:
     """Conform arrival records into the fact, and the date dimension from it.
 
-    With ``refresh`` only the months in the input are replaced. The dates come from the
+    With ``refresh`` only the months in the input are replaced. ``rebalance=False`` writes
+    without a shuffle, for input that comes in files of one month each. The dates come from the
     stored fact where there is one: two columns of Parquet instead of the raw source.
     """
     picked = "*" if columns is None else columns
@@ -40,9 +42,17 @@ def build_visits(
     fact = facts.visits(raw, columns)
     if output_path is not None:
         if refresh:
-            upsert_partitions(fact.select(columns_to_save), output_path, partition_by or MONTH)
+            upsert_partitions(
+                fact.select(columns_to_save), output_path, partition_by or MONTH, rebalance
+            )
         else:
-            save(fact, output_path, columns=columns_to_save, partition_by=partition_by)
+            save(
+                fact,
+                output_path,
+                columns=columns_to_save,
+                partition_by=partition_by,
+                rebalance=rebalance,
+            )
     if date_output_path is not None:
         stored = fact
         if output_path is not None:

@@ -15,6 +15,11 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Size of merged or split shuffle partitions, and so of the files of a rebalanced write.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Plans here are many small expressions; noting the call site of each doubles the time
+    # it takes to state them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # One shuffle partition per this much input. Adaptive execution merges partitions that turn
