@@ -26,14 +26,17 @@ def pivot_sum(
     keys: Sequence[str],
     category: str,
     measure: str,
-    categories: Mapping[str, str],
+    categories: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Category values become columns holding the sum of the measure.
 
-    The values are given, so no job runs to find them and the schema is fixed.
+    With the values given, by the names their columns take, no job runs to find them and the
+    schema is fixed. Without, every value that occurs becomes a column of its own name.
     """
-    pivoted = df.groupBy(*_cols(keys)).pivot(category, list(categories)).sum(measure)
-    return pivoted.withColumnsRenamed(dict(categories))
+    groups = df.groupBy(*_cols(keys))
+    if categories is None:
+        return groups.pivot(category).sum(measure)
+    return groups.pivot(category, list(categories)).sum(measure).withColumnsRenamed(categories)
 
 
 def sum_columns(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

@@ -81,6 +81,14 @@ def test_city_demographics_equals_pivot_and_join(spark, rows):
     assert got == rows(pivoted.where("State is not null"), *columns)
 
 
+def test_pivot_without_values_takes_all_that_occur(spark, rows):
+    data = [(1, "x y", 2), (1, "z", 3), (2, "z", 4), (2, "z", 5)]
+    df = spark.createDataFrame(data, "k int, c string, n int")
+    pivoted = aggregates.pivot_sum(df, ["k"], "c", "n")
+    assert pivoted.columns == ["k", "x y", "z"]
+    assert rows(pivoted) == [(1, 2, 3), (2, None, 9)]
+
+
 def test_states_sum_to_the_cities(spark):
     cities = dims.city_demographics(spark.createDataFrame(CITIES, DEMOGRAPHICS))
     totals = [F.sum(m) for m in dims.STATE_MEASURES]
