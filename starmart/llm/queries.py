@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from starmart.llm import quality_rules, url_filters
+from starmart.llm import (
+    fingerprints,
+    minhash,
+    packing,
+    passages,
+    quality_classifier,
+    quality_rules,
+    secret_scans,
+    url_filters,
+)
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op2_minhash_dedup": minhash.op2_minhash_dedup,
+    "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_secret_scans": secret_scans.op5_secret_scans,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_substring_dedup": passages.op8_substring_dedup,
 }
 
 ORACLES = {
