@@ -62,14 +62,15 @@ def edits(a: str, b: str) -> Column:
     Empty when the roots are equal.
     """
     side = lambda f: f"transform(split(split({f}, '[|]')[1], ';', -1), s -> split(s, ',', -1))"
+    x, y = side(a), side(b)
     return F.expr(f"""
         if(split({a}, '[|]')[0] = split({b}, '[|]')[0], cast(array() as array<struct<section:int,paragraph:int>>),
-          flatten(transform(
-            arrays_zip({side(a)} as x, {side(b)} as y), (z, i) ->
-              transform(
-                filter(transform(arrays_zip(coalesce(z.x, array()) as p, coalesce(z.y, array()) as q),
-                  (w, j) -> named_struct('j', j, 'same', w.p <=> w.q)), w -> not w.same),
-                w -> named_struct('section', i, 'paragraph', w.j)))))""")
+          flatten(transform(sequence(0, greatest(size({x}), size({y})) - 1), i ->
+            transform(
+              filter(
+                sequence(0, greatest(size(coalesce(get({x}, i), array())), size(coalesce(get({y}, i), array()))) - 1),
+                j -> not (get(get({x}, i), j) <=> get(get({y}, i), j))),
+              j -> named_struct('section', i, 'paragraph', j)))))""")
 
 
 FIRST = "-9223372036854775808L"
