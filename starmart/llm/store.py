@@ -40,3 +40,9 @@ def words_of(text: Column) -> Column:
 
 def shuffle_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder when the driver's JVM ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
