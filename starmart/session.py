@@ -27,8 +27,9 @@ DEFAULTS = {
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def shuffle_partitions(input_bytes: int, least: int = 200, most: int = 100_000) -> int:
-    return max(least, min(most, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
+    """As many as keep a partition at its size: 409,600 for 100 TiB."""
+    return max(least, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def get_or_create(
@@ -61,15 +62,27 @@ def _machine_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="starmart-", ignore_cleanup_errors=True)
 
 
+def _application_folder(spark: SparkSession, base: str) -> str:
+    """This application's own folder in the shared one, gone when its driver ends."""
+    folder = f"{base.rstrip('/')}/starmart-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables that every executor can reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a local
-    master may fall back to a temporary folder of this machine.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir`` and is removed with all
+    it holds when the driver ends. Only a local master may fall back to a temporary folder of
+    this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _machine_folder().name
-    return f"{base.rstrip('/')}/starmart-{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark, base)}/{label}-{uuid.uuid4().hex}"

@@ -3,10 +3,11 @@ from starmart.session import shuffle_partitions
 from starmart.sources import save
 
 
-def test_shuffles_grow_with_the_input_within_bounds():
+def test_shuffles_grow_with_the_input():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(1024**4) == 4096
-    assert shuffle_partitions(10 * 1024**5) == 100_000
+    assert shuffle_partitions(100 * 1024**4) == 409_600
+    assert shuffle_partitions(10 * 1024**5) == 10 * 1024 * 4096
 
 
 def test_fact_is_one_generated_stage_without_a_shuffle(spark, plan, tmp_path):
