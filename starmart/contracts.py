@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DataType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
+from starmart.functions import date_from_text, double_from_text
+
 
 @dataclass(frozen=True)
 class TableContract:
@@ -23,6 +29,7 @@ class TableContract:
     schema: StructType
     primary_key: tuple[str, ...]
     foreign_keys: dict[str, tuple[str, str]] = field(default_factory=dict)
+    date_text: tuple[str, ...] = ()  # text columns that hold dates as YYYY-MM-DD
 
     @property
     def not_null(self) -> tuple[str, ...]:
@@ -31,18 +38,29 @@ class TableContract:
         return tuple(dict.fromkeys([*self.primary_key, *declared]))
 
 
-def _struct(*groups: tuple[DataType, str]) -> StructType:
-    return StructType(
-        [StructField(name, dtype) for dtype, names in groups for name in names.split()]
-    )
-
-
 # Table layouts of the target warehouse, dates loaded as YYYY-MM-DD text.
 IMMIGRATION = TableContract(
     name="immigration",
-    schema=_struct(
-        (IntegerType(), "i94mon cicid i94visa i94res i94yr i94mode i94cit i94bir stay"),
-        (StringType(), "arrdate depdate airline fltno i94port visatype gender i94addr"),
+    schema=StructType(
+        [
+            StructField("i94mon", IntegerType()),
+            StructField("cicid", IntegerType()),
+            StructField("i94visa", IntegerType()),
+            StructField("i94res", IntegerType()),
+            StructField("i94yr", IntegerType()),
+            StructField("i94mode", IntegerType()),
+            StructField("i94cit", IntegerType()),
+            StructField("i94bir", IntegerType()),
+            StructField("stay", IntegerType()),
+            StructField("arrdate", StringType()),
+            StructField("depdate", StringType()),
+            StructField("airline", StringType()),
+            StructField("fltno", StringType()),
+            StructField("i94port", StringType()),
+            StructField("visatype", StringType()),
+            StructField("gender", StringType()),
+            StructField("i94addr", StringType()),
+        ]
     ),
     primary_key=("cicid",),
     foreign_keys={
@@ -52,29 +70,40 @@ IMMIGRATION = TableContract(
         "depdate": ("date", "date"),
         "i94addr": ("state", "Code"),
     },
+    date_text=("arrdate", "depdate"),
 )
 
 COUNTRY = TableContract(
     name="country",
-    schema=_struct(
-        (IntegerType(), "Code"),
-        (StringType(), "Country"),
-        (DoubleType(), "Temperature"),
-        (StringType(), "Latitude Longitude"),
+    schema=StructType(
+        [
+            StructField("Code", IntegerType()),
+            StructField("Country", StringType()),
+            StructField("Temperature", DoubleType()),
+            StructField("Latitude", StringType()),
+            StructField("Longitude", StringType()),
+        ]
     ),
     primary_key=("Code",),
 )
 
 STATE = TableContract(
     name="state",
-    schema=_struct(
-        (StringType(), "Code State"),
-        (
-            LongType(),
-            "BlackOrAfricanAmerican White ForeignBorn AmericanIndianAndAlaskaNative "
-            "HispanicOrLatino Asian NumberVeterans FemalePopulation MalePopulation "
-            "TotalPopulation",
-        ),
+    schema=StructType(
+        [
+            StructField("Code", StringType()),
+            StructField("State", StringType()),
+            StructField("BlackOrAfricanAmerican", LongType()),
+            StructField("White", LongType()),
+            StructField("ForeignBorn", LongType()),
+            StructField("AmericanIndianAndAlaskaNative", LongType()),
+            StructField("HispanicOrLatino", LongType()),
+            StructField("Asian", LongType()),
+            StructField("NumberVeterans", LongType()),
+            StructField("FemalePopulation", LongType()),
+            StructField("MalePopulation", LongType()),
+            StructField("TotalPopulation", LongType()),
+        ]
     ),
     primary_key=("Code",),
 )
@@ -82,27 +111,76 @@ STATE = TableContract(
 DATE = TableContract(
     name="date",
     schema=StructType(
-        [StructField("date", StringType(), nullable=False)]
-        + [
-            StructField(name, IntegerType())
-            for name in ("day", "month", "year", "weekofyear", "dayofweek")
+        [
+            StructField("date", StringType(), nullable=False),
+            StructField("day", IntegerType()),
+            StructField("month", IntegerType()),
+            StructField("year", IntegerType()),
+            StructField("weekofyear", IntegerType()),
+            StructField("dayofweek", IntegerType()),
         ]
     ),
     primary_key=("date",),
+    date_text=("date",),
 )
 
 STAR = {c.name: c for c in (IMMIGRATION, COUNTRY, STATE, DATE)}
 
 
-def conform(df: DataFrame, contract: TableContract) -> DataFrame:
-    """The contract's columns, matched by name, in its order and types.
+def fitted(df: DataFrame, contract: TableContract, name: str) -> tuple[Column, Column]:
+    """A contract column's value as it is loaded, and whether a filled value does not fit.
 
-    Matching is never by position: producers write their columns in another order.
+    The load and the checks both go by this. Numbers may come as text or in another numeric
+    type, but not with a fraction where the contract has whole ones. Date text comes from a
+    date, a timestamp or text of that very form, and not from numbers.
     """
+    column = F.col(f"`{name}`")
+    target = contract.schema[name].dataType
+    source = next(f.dataType for f in df.schema if f.name.lower() == name.lower())
+    if name in contract.date_text:
+        if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
+            value = column.cast("date").cast("string")
+        elif isinstance(source, StringType):
+            value = date_from_text(column).cast("string")
+        else:
+            value = F.lit(None).cast("string")
+    elif isinstance(target, (IntegerType, LongType)):
+        number = double_from_text(column)
+        whole = number.try_cast(target)
+        value = F.coalesce(column.try_cast(target), whole)
+        fraction = F.coalesce(number != whole.cast("double"), F.lit(False))
+        return value, column.isNotNull() & (value.isNull() | fraction)
+    else:
+        value = column.try_cast(target)
+    return value, column.isNotNull() & value.isNull()
+
+
+def _present(df: DataFrame, contract: TableContract) -> None:
     present = {c.lower() for c in df.columns}
     missing = [f.name for f in contract.schema if f.name.lower() not in present]
     if missing:
         raise ValueError(f"{contract.name}: columns missing from the data: {missing}")
-    return df.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in contract.schema]
-    )
+
+
+def misfits(df: DataFrame, contract: TableContract) -> Column:
+    """Whether a row holds a filled value that does not fit its column."""
+    _present(df, contract)
+    return reduce(or_, [fitted(df, contract, f.name)[1] for f in contract.schema])
+
+
+def conform(df: DataFrame, contract: TableContract) -> DataFrame:
+    """The contract's columns, matched by name, in its order and types.
+
+    Matching is never by position: producers write their columns in another order. A filled
+    value that does not fit stops the job that meets it.
+    """
+    _present(df, contract)
+    columns = []
+    for f in contract.schema:
+        value, misfit = fitted(df, contract, f.name)
+        text = F.concat(
+            F.lit(f"{contract.name}.{f.name} cannot take "), F.col(f"`{f.name}`").cast("string")
+        )
+        checked = F.when(misfit, F.raise_error(text).cast(f.dataType)).otherwise(value)
+        columns.append(checked.alias(f.name))
+    return df.select(*columns)

@@ -1,4 +1,8 @@
-"""Column expressions. Everything is a Spark built-in, so plans stay inside codegen."""
+"""Column expressions, all made of Spark built-ins.
+
+They stay inside generated code, but for ``title_case``, whose ``transform`` does not: it is meant
+for code tables, not for the fact.
+"""
 
 from __future__ import annotations
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import DATE_PARTS, date_parts, double_from_text, int_from_text
-from starmart.operators.aggregates import category_sums, sum_columns
+from starmart.operators.aggregates import category_sums
 from starmart.operators.shape import cast_columns, fill_zero, name_or_title, override_values
 
 CITY_KEYS = ("City", "State", "State Code")
@@ -64,10 +64,14 @@ def city_demographics(
     df: DataFrame,
     counts: Mapping[str, str] = CITY_COUNTS,
     averages: Mapping[str, str] = CITY_AVERAGES,
-    races: Mapping[str, str] = RACES,
+    races: Mapping[str, str] | None = RACES,
 ) -> DataFrame:
     """One row per city: its attributes, and a column of head counts per race.
 
+    With ``races=None`` every value that occurs becomes a column of its own name, at the price
+    of a pass to find them. A fixed list keeps the schema fixed and leaves other values out;
+    ``quality.unknown_categories`` reports those.
+
     The attributes repeat on each of a city's rows, so ``max`` picks the value without
     depending on row order. Both parts group by the city and therefore share one
     aggregation, with no join between them. Rows with a NULL key are left out.
@@ -77,6 +81,10 @@ def city_demographics(
         {**dict.fromkeys(("Count", *counts), "int"), **dict.fromkeys(averages, "double")},
     )
     attributes = {**counts, **averages}
+    if races is None:
+        # As many rows as the source has categories, each of which becomes a column.
+        found = df.select("Race").where(F.col("Race").isNotNull()).distinct().collect()
+        races = {r["Race"]: r["Race"] for r in sorted(found)}
     cities = (
         typed.dropna(subset=list(CITY_KEYS))
         .groupBy(*[F.col(f"`{k}`") for k in CITY_KEYS])
@@ -89,8 +97,10 @@ def city_demographics(
 
 
 def state_rollup(cities: DataFrame, measures: Sequence[str] = STATE_MEASURES) -> DataFrame:
-    """City figures summed by state."""
-    return sum_columns(cities, ("State Code", "State"), measures)
+    """City figures summed by state code; of several spellings of a state, the least."""
+    return cities.groupBy(F.col("`State Code`")).agg(
+        F.min("State").alias("State"), *[F.sum(F.col(f"`{m}`")).alias(m) for m in measures]
+    )
 
 
 def state_dim(

@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 * 1024 * 1024
 
-# Codes of the mode of transportation and of the visa category.
+# Codes of the mode of transportation and of the visa category, for callers that
+# have no code tables to read.
 MODES = {1: "Air", 2: "Sea", 3: "Land", 9: "Not reported"}
 VISAS = {1: "Business", 2: "Pleasure", 3: "Student"}
 
 
 def decode_fixed(df: DataFrame, codes: Mapping[int, str], key: str, output: str) -> DataFrame:
-    """Add ``output``: the text of a code from a handful of fixed ones, else NULL."""
+    """Add ``output``: the text of a code from a handful of fixed ones, else NULL.
+
+    Codes outside the handful become NULL; where there is a code table, use ``decode``.
+    """
     entries = [F.lit(x) for code, text in codes.items() for x in (code, text)]
     return df.withColumn(output, F.try_element_at(F.create_map(*entries), F.col(f"`{key}`")))
 
@@ -50,11 +54,15 @@ def decode(
 ) -> DataFrame:
     """Add ``output``: the lookup's value for the row's code, NULL where there is none.
 
-    A lookup proven small is broadcast and the rows are not shuffled. A larger one is
-    joined by shuffle, where adaptive execution splits hot codes.
+    A code listed more than once takes its least value, so rows never multiply; the quality
+    check ``duplicate_keys`` on the lookup reports such codes. A lookup proven small is broadcast
+    and the rows are not shuffled. A larger one is joined by shuffle, where adaptive execution
+    splits hot codes.
     """
-    side = lookup.select(
-        F.col(f"`{code}`").alias("__code"), F.col(f"`{value}`").alias(output)
+    side = (
+        lookup.where(F.col(f"`{code}`").isNotNull())
+        .groupBy(F.col(f"`{code}`").alias("__code"))
+        .agg(F.min(F.col(f"`{value}`")).alias(output))
     )
     if fits_broadcast(side, max_rows):
         side = F.broadcast(side)

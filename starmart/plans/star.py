@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starmart.contracts import STAR
 from starmart.operators import dims, facts, quality
-from starmart.sources import land, load_table, read_lookup, read_source, save, upsert_partitions
-
-MONTH = ("i94yr", "i94mon")
+from starmart.sources import (
+    land,
+    load_table,
+    path_exists,
+    read_lookup,
+    read_source,
+    replace_folder,
+    save,
+    upsert_partitions,
+)
+from starmart.sources.tables import MONTH, in_partitions
 
 
 def build_visits(
@@ -27,23 +32,31 @@ def build_visits(
     limit: int | None = None,
     partition_by: Sequence[str] | None = MONTH,
     columns_to_save: str | Sequence[str] = "*",
-    refresh: bool = False,
+    refresh: Sequence[tuple[int, int]] | None = None,
     rebalance: bool = True,
+    rejects: str | None = None,
     **options,
 ) -> DataFrame:
     """Conform arrival records into the fact, and the date dimension from it.
 
-    With ``refresh`` only the months in the input are replaced. ``rebalance=False`` writes
-    without a shuffle, for input that comes in files of one month each. The dates come from the
-    stored fact where there is one: two columns of Parquet instead of the raw source.
+    ``refresh`` names the months, as (year, month), that this delivery is for: only those are
+    replaced, and rows of other months or of none go to ``rejects`` or, without it, stop the
+    job. ``rebalance=False`` writes without a shuffle, for input that comes in files of one
+    month each. The dates come from the stored fact where there is one: two columns of Parquet
+    instead of the raw source, and on a refresh of the named months alone.
     """
     picked = "*" if columns is None else columns
     raw = read_source(spark, input_path, fmt, picked, limit, **options)
     fact = facts.visits(raw, columns)
     if output_path is not None:
-        if refresh:
+        if refresh is not None:
             upsert_partitions(
-                fact.select(columns_to_save), output_path, partition_by or MONTH, rebalance
+                fact.select(columns_to_save),
+                output_path,
+                refresh,
+                partition_by or MONTH,
+                rebalance,
+                rejects,
             )
         else:
             save(
@@ -59,10 +72,27 @@ def build_visits(
             written = spark.read.parquet(output_path)
             if set(facts.DATE_COLUMNS) <= set(written.columns):
                 stored = written
-        save(dims.date_dim(stored), date_output_path)
+        if refresh is not None and path_exists(spark, date_output_path):
+            by = partition_by or MONTH
+            fresh = stored.where(in_partitions(refresh, by)) if stored is not fact else stored
+            add_dates(fresh, date_output_path)
+        else:
+            save(dims.date_dim(stored), date_output_path)
     return fact
 
 
+def add_dates(fact: DataFrame, path: str) -> None:
+    """Adds the dates of some visits to the stored date dimension.
+
+    The new table is written beside the old one and then takes its place. A date that a
+    refreshed month no longer holds stays: the dimension lists the days, not their use.
+    """
+    spark = fact.sparkSession
+    fresh = f"{path.rstrip('/')}.next"
+    save(spark.read.parquet(path).unionByName(dims.date_dim(fact)).distinct(), fresh)
+    replace_folder(spark, fresh, path)
+
+
 def land_temperature(
     spark: SparkSession,
     input_path: str,
@@ -90,10 +120,12 @@ def build_city_demographics(
     partition_by: Sequence[str] | None = ("State Code",),
     limit: int | None = None,
     sep: str = ";",
+    races: Mapping[str, str] | None = dims.RACES,
     **options,
 ) -> DataFrame:
+    """``races`` as in ``dims.city_demographics``: None makes a column of every value."""
     raw = read_source(spark, input_path, limit=limit, sep=sep, **options)
-    cities = dims.city_demographics(raw)
+    cities = dims.city_demographics(raw, races=races)
     if output_path is not None:
         save(cities, output_path, partition_by=partition_by)
     return cities
@@ -124,12 +156,18 @@ def build_countries(
     fmt: str = "csv",
     limit: int | None = None,
     normalize_space: bool = False,
+    country_overrides: Sequence[tuple[str, str, str]] = dims.COUNTRY_OVERRIDES,
+    lookup_overrides: Sequence[tuple[str, str, str]] = dims.LOOKUP_OVERRIDES,
     **options,
 ) -> DataFrame:
     """``limit`` shortens the readings only; the code table is always read whole."""
     readings = read_source(spark, temperature_path, fmt, limit=limit, **options)
     countries = dims.country_dim(
-        readings, read_lookup(spark, lookup_path), normalize_space=normalize_space
+        readings,
+        read_lookup(spark, lookup_path),
+        country_overrides,
+        lookup_overrides,
+        normalize_space,
     )
     if output_path is not None:
         save(countries, output_path)
@@ -150,9 +188,16 @@ class Sources:
 
 
 def build_star(
-    spark: SparkSession, sources: Sources, out: str, refresh: bool = False
+    spark: SparkSession,
+    sources: Sources,
+    out: str,
+    refresh: Sequence[tuple[int, int]] | None = None,
+    rejects: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All four tables, staged under ``out``; each is returned as read back from there."""
+    """All four tables, staged under ``out``; each is returned as read back from there.
+
+    ``refresh`` names the delivered months, as (year, month); see ``build_visits``.
+    """
     paths = {name: f"{out.rstrip('/')}/{name}.parquet" for name in STAR}
     build_visits(
         spark,
@@ -161,6 +206,7 @@ def build_star(
         paths["date"],
         sources.immigration_format,
         refresh=refresh,
+        rejects=rejects,
         **sources.immigration_options,
     )
     build_countries(spark, sources.temperature, sources.country_lookup, paths["country"])
@@ -170,8 +216,12 @@ def build_star(
 
 def in_months(months: Sequence[tuple[int, int]]) -> Column:
     """Whether a visit lies in one of the months, on partition columns alone."""
-    year, month = (F.col(c) for c in MONTH)
-    return reduce(or_, [(year == y) & (month == m) for y, m in months], F.lit(False))
+    return in_partitions(months, MONTH)
+
+
+def stored_months(fact: DataFrame) -> list[tuple[int, int]]:
+    """The months of a stored fact, read from its partitions: one row per month."""
+    return [tuple(r) for r in fact.select(*MONTH).distinct().collect()]
 
 
 def load_star(
@@ -181,26 +231,37 @@ def load_star(
     mode: str = "refresh",
     partition_by: Sequence[str] = MONTH,
     months: Sequence[tuple[int, int]] | None = None,
+    full_checks: bool = False,
 ) -> dict[str, str]:
-    """Load each staged table into its contract table, then check that all are filled.
+    """Check the staged tables, then load each into its contract table.
+
+    That all are filled is always checked; ``full_checks`` holds them against keys and
+    references too. Nothing is published unless the checks pass.
 
-    The fact is partitioned by month. With ``refresh`` its months in ``tables`` replace those
-    loaded before and the dimensions, which are small, are replaced whole; a repeated load
-    changes nothing. ``append`` adds every row to what is there. ``months``, as (year, month),
-    keeps the load of the fact to those: staged partitions of other months are not read.
+    The fact is partitioned by month, and staged that way, so it is loaded without another
+    shuffle. With ``refresh`` its ``months``, as (year, month), replace those loaded before, and
+    the dimensions, which are small, are overwritten in place; a repeated load changes nothing.
+    Without ``months`` those of the staged fact count. Staged partitions of other months are
+    not read. ``append`` adds every row to what is there.
     """
+    staged = dict(tables)
+    fact = next(name for name, contract in STAR.items() if contract.foreign_keys)
+    if months is not None:
+        staged[fact] = staged[fact].where(in_months(months))
+    elif mode == "refresh":
+        months = stored_months(staged[fact])
+    check = quality.check_star(staged, STAR) if full_checks else quality.non_empty(staged)
+    quality.assert_passed(check)
     names = {}
     for name, contract in STAR.items():
-        is_fact = bool(contract.foreign_keys)
-        rows = tables[name]
-        if is_fact and months is not None:
-            rows = rows.where(in_months(months))
+        is_fact = name == fact
         names[name] = load_table(
-            rows,
+            staged[name],
             contract,
             f"{prefix}{name}",
             mode="overwrite" if mode == "refresh" and not is_fact else mode,
             partition_by=partition_by if is_fact else None,
+            partitions=months if is_fact and mode == "refresh" else None,
+            rebalance=False,
         )
-    quality.assert_passed(quality.non_empty({n: spark.table(n) for n in names.values()}))
     return names

@@ -1,4 +1,20 @@
-from starmart.sources.files import land, read_lookup, read_source, save
+from starmart.sources.files import (
+    land,
+    path_exists,
+    read_lookup,
+    read_source,
+    replace_folder,
+    save,
+)
 from starmart.sources.tables import load_table, upsert_partitions
 
-__all__ = ["land", "load_table", "read_lookup", "read_source", "save", "upsert_partitions"]
+__all__ = [
+    "land",
+    "load_table",
+    "path_exists",
+    "read_lookup",
+    "read_source",
+    "replace_folder",
+    "save",
+    "upsert_partitions",
+]

@@ -47,6 +47,25 @@ def read_lookup(
     return df if int_code is None else df.withColumn(int_code, int_from_text(int_code))
 
 
+def _files(spark: SparkSession, path: str):
+    """The path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _files(spark, path)
+    return files.exists(place)
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a finished folder in the place of another."""
+    place, files = _files(spark, path)
+    files.delete(place, True)
+    if not files.rename(_files(spark, fresh)[0], place):
+        raise OSError(f"{fresh} could not be moved to {path}")
+
+
 def save(
     df: DataFrame,
     path: str,

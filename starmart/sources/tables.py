@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.contracts import TableContract, conform
+from starmart.contracts import TableContract, conform, misfits
 from starmart.sources.files import save
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+OVERWRITE_MODE = "partitionOverwriteMode"
+MONTH = ("i94yr", "i94mon")
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Inserting into a table takes this setting from the session only."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+def in_partitions(partitions: Sequence[tuple], partition_by: Sequence[str] = MONTH) -> Column:
+    """Whether a row lies in one of the named partitions; one with a NULL key lies in none."""
+    keys = [F.col(f"`{c}`") for c in partition_by]
+    wanted = [reduce(and_, [k == v for k, v in zip(keys, p, strict=True)]) for p in partitions]
+    return F.coalesce(reduce(or_, wanted, F.lit(False)), F.lit(False))
+
+
+def _divert(strays: DataFrame, rejects: str | None, what: str) -> int:
+    """Puts rows aside and counts them; without a place for them, any such row stops the load."""
+    if rejects is None:
+        n = strays.count()
+        if n:
+            raise ValueError(f"{n} rows {what}; name a rejects path to put them aside")
+        return 0
+    save(strays, rejects)
+    return strays.sparkSession.read.parquet(rejects).count()
+
+
+def _is_dynamic(spark: SparkSession, table: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
+        F.col("data_type").contains(f"{OVERWRITE_MODE}=dynamic")
+    )
+    return not rows.isEmpty()
 
 
 def load_table(
@@ -33,30 +49,50 @@ def load_table(
     path: str | None = None,
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    partitions: Sequence[tuple] | None = None,
+    rejects: str | None = None,
+    rebalance: bool = True,
 ) -> str:
     """Load rows into a catalog table in the contract's layout; returns the table name.
 
-    ``mode`` is ``append``, ``overwrite``, or ``refresh``: replace just the partitions that
-    occur in the rows, so that loading one delivery twice changes nothing. ``path`` places
-    a new table outside the warehouse folder.
+    ``mode`` is ``append``, ``overwrite``, or ``refresh``: replace the named ``partitions`` and no
+    others. A delivery with rows outside them, or with a NULL partition key, stops the load, as
+    does a value that does not fit the contract; with a ``rejects`` path such rows are put there
+    instead. A standing table is overwritten in place: it never goes missing in between.
+    ``path`` places a new table outside the warehouse folder. ``rebalance=False`` saves a
+    shuffle for rows that already come partition by partition.
     """
+    spark = df.sparkSession
     name = table or contract.name
-    rows = conform(df, contract)
-    if partition_by:
-        rows = rows.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+    keys = list(partition_by or ())
     if mode == "refresh":
-        if not partition_by:
+        if not keys:
             raise ValueError("a refresh needs the partition columns")
-        if df.sparkSession.catalog.tableExists(name):
-            # Inserts go by position: take the order of the table, where partitions are last.
-            ordered = rows.select(*[f"`{c}`" for c in df.sparkSession.table(name).columns])
-            with _dynamic_overwrite(df.sparkSession):
-                ordered.write.mode("overwrite").insertInto(name)
-            return name
-        mode = "append"
-    writer = rows.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        if partitions is None:
+            raise ValueError("a refresh needs the delivered partitions")
+        inside = in_partitions(partitions, keys)
+        _divert(df.where(~inside), rejects and f"{rejects}/outside", "lie outside the refresh")
+        df = df.where(inside)
+    if rejects is not None:
+        bad = misfits(df, contract)
+        _divert(df.where(bad), f"{rejects}/misfits", "do not fit the contract")
+        df = df.where(~bad)
+    rows = conform(df, contract)
+    if keys and rebalance:
+        rows = rows.hint("rebalance", *[F.col(f"`{c}`") for c in keys])
+    if spark.catalog.tableExists(name):
+        # Inserts go by position: take the order of the table, where partitions are last.
+        ordered = rows.select(*[f"`{c}`" for c in spark.table(name).columns])
+        if mode == "refresh" and not _is_dynamic(spark, name):
+            raise ValueError(f"{name} would be replaced whole: it was not made for refreshes")
+        if mode == "overwrite" and keys:
+            raise ValueError("a partitioned table is refreshed by naming its partitions")
+        ordered.write.mode("append" if mode == "append" else "overwrite").insertInto(name)
+        return name
+    writer = rows.write.mode("append").format(fmt)
+    if keys:
+        # Kept with the table, so that inserts replace only the partitions they hold.
+        writer = writer.partitionBy(*keys).option(OVERWRITE_MODE, "dynamic")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -66,18 +102,25 @@ def load_table(
 def upsert_partitions(
     df: DataFrame,
     path: str,
-    partition_by: Sequence[str] = ("i94yr", "i94mon"),
+    partitions: Sequence[tuple],
+    partition_by: Sequence[str] = MONTH,
     rebalance: bool = True,
-) -> None:
-    """Replace just the partitions that occur in ``df``; all others stay as they are.
+    rejects: str | None = None,
+) -> int:
+    """Replace the named partitions by their rows in ``df``; all others stay as they are.
 
-    Running one delivery twice leaves the same rows, so a retried load is harmless.
+    Rows of other partitions, or with a NULL key, are never written over anything: they go to
+    the ``rejects`` path, and their number is returned, or stop the load where there is none. A
+    named partition without rows stays. Running one delivery twice leaves the same rows.
     """
+    inside = in_partitions(partitions, partition_by)
+    rejected = _divert(df.where(~inside), rejects, "lie outside the named partitions")
     save(
-        df,
+        df.where(inside),
         path,
         mode="overwrite",
         partition_by=partition_by,
         rebalance=rebalance,
         partitionOverwriteMode="dynamic",
     )
+    return rejected

@@ -143,3 +143,19 @@ def test_country_with_a_third_of_all_readings(spark):
     assert len(got) == 51
     assert got["Peru"] == pytest.approx(sum(i % 7 for i in range(n)) / n)
     assert got["land 3"] == pytest.approx(5.0)
+
+
+def test_categories_found_in_the_data(spark, rows):
+    odd = ("Reno", "Nevada", "30", "5", "6", "11", "2", "2", "2.0", "NV", "Other", "11")
+    df = spark.createDataFrame([*CITIES, odd], DEMOGRAPHICS)
+    cities = dims.city_demographics(df, races=None)
+    assert {"Other", "White", "Hispanic or Latino"} <= set(cities.columns)
+    assert rows(cities.where("City = 'Reno'"), "Other", "White") == [(11, 0)]
+
+
+def test_two_spellings_of_a_state_make_one_row(spark, rows):
+    odd = ("Eugene", "OREGON", "30", "5", "6", "11", "2", "2", "2.0", "OR", "White", "11")
+    cities = dims.city_demographics(spark.createDataFrame([*CITIES, odd], DEMOGRAPHICS))
+    lookup = spark.createDataFrame([("OR", "OREGON")], "Code string, State string")
+    got = rows(dims.state_dim(cities, lookup), "Code", "State", "TotalPopulation")
+    assert got == [("OR", "OREGON", 136)]

@@ -37,9 +37,30 @@ def test_null_profile_and_drop(spark, rows):
 
 
 def test_cast_failures(spark, rows):
-    df = spark.createDataFrame([("4.0", "x"), (None, "1"), ("", "2")], "a string, b string")
+    data = [("4.0", "x"), (None, "1"), ("", "2"), ("4.7", "4.7")]
+    df = spark.createDataFrame(data, "a string, b string")
     got = rows(quality.cast_failures(df, {"a": "int", "b": "double", "zz": "int"}))
-    assert got == [("a", "int", 2, 1), ("b", "double", 3, 1)]
+    assert got == [("a", "int", 3, 2), ("b", "double", 4, 1)]
+
+
+def test_unknown_categories(spark, rows):
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3"), (None, "x")], "c string, n string")
+    assert rows(quality.unknown_categories(df, "c", "n", ["a"])) == [(None, 1, None), ("b", 2, 5)]
+
+
+@pytest.mark.parametrize("value", ["5.0", "5.5", "x", "", None])
+def test_the_check_passes_what_the_load_takes(spark, value):
+    df = spark.createDataFrame(
+        [("2016-04-01", value, 4, 2016, 13, 6)],
+        "date string, day string, month int, year int, weekofyear int, dayofweek int",
+    )
+    report = {r["column"]: r["passed"] for r in quality.schema_conformance(df, contracts.DATE).collect()}
+    try:
+        contracts.conform(df, contracts.DATE).collect()
+        loads = True
+    except Exception:
+        loads = False
+    assert report["day"] == loads == (value in ("5.0", None))
 
 
 def test_schema_conformance_reports_missing_columns(spark):

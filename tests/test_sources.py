@@ -73,11 +73,11 @@ def test_month_filter_reads_one_partition(spark, visits, tmp_path, plan):
 
 def test_month_refresh_is_idempotent_and_leaves_other_months(spark, visits, tmp_path, rows):
     path = str(tmp_path / "v")
-    upsert_partitions(visits, path)
+    upsert_partitions(visits, path, [(2016, 4), (2016, 5), (2016, 6)])
     again = visits.where("i94mon = 5").withColumn("batch", F.lit("second"))
     seen = []
     for _ in range(2):
-        upsert_partitions(again, path, rebalance=False)
+        assert upsert_partitions(again, path, [(2016, 5)], rebalance=False) == 0
         stored = spark.read.parquet(path)
         assert stored.count() == 4000
         seen.append(rows(stored.groupBy("i94mon", "batch").count()))
@@ -85,6 +85,24 @@ def test_month_refresh_is_idempotent_and_leaves_other_months(spark, visits, tmp_
     assert {(m, b) for m, b, _ in seen[0]} == {(4, "first"), (5, "second"), (6, "first")}
 
 
+def test_month_refresh_never_touches_other_months(spark, visits, tmp_path, rows):
+    """A stray row of another month, and one of none, are rejected and replace nothing."""
+    path, rejects = str(tmp_path / "v"), str(tmp_path / "rejects")
+    undated = visits.limit(2).withColumn("i94mon", F.lit(None).cast("int"))
+    save(visits.unionByName(undated), path, partition_by=["i94yr", "i94mon"])
+    may = visits.where("i94mon = 5").withColumn("batch", F.lit("second"))
+    stray = visits.where("i94mon = 4").limit(1).withColumn("batch", F.lit("stray"))
+    delivery = may.unionByName(stray).unionByName(undated.limit(1))
+    with pytest.raises(ValueError, match="2 rows lie outside"):
+        upsert_partitions(delivery, path, [(2016, 5)])
+    before = rows(spark.read.parquet(path).groupBy("i94mon").count())
+    assert upsert_partitions(delivery, path, [(2016, 5), (2016, 9)], rejects=rejects) == 2
+    stored = spark.read.parquet(path)
+    assert rows(stored.groupBy("i94mon").count()) == before
+    assert {r["batch"] for r in stored.where("i94mon = 5").collect()} == {"second"}
+    assert rows(spark.read.parquet(rejects), "i94mon") == [(4,), (None,)]
+
+
 def test_land_keeps_rows_and_uses_the_partition_columns(spark, tmp_path, rows):
     path = tmp_path / "temp.csv"
     path.write_text("dt,City,Country\n1900,Lima,Peru\n1901,Lima,Peru\n1900,Oslo,Norway\n")
@@ -110,22 +128,65 @@ def test_load_maps_by_name_and_appends(spark, rows):
         load_table(dates.drop("weekofyear"), contracts.DATE, "never")
 
 
+def test_a_value_that_does_not_fit_stops_the_load_or_is_put_aside(spark, tmp_path, rows):
+    contract = contracts.DATE
+    good = ("2016-04-01", "1.0", 4, 2016, 13, 6)
+    bad = [("2016-4-1", "1", 4, 2016, 13, 6), ("2016-04-02", "1.5", 4, 2016, 13, 6)]
+    names = "date string, day string, month int, year int, weekofyear int, dayofweek int"
+    df = spark.createDataFrame([good, *bad], names)
+    with pytest.raises(Exception, match="cannot take"):
+        load_table(df, contract, "refused")
+    load_table(df, contract, "sifted", rejects=str(tmp_path / "r"))
+    assert rows(spark.table("sifted")) == [("2016-04-01", 1, 4, 2016, 13, 6)]
+    assert spark.read.parquet(str(tmp_path / "r" / "misfits")).count() == 2
+    days = spark.createDataFrame([(20551.0, 1, 4, 2016, 13, 6)], names.replace("date string", "date double").replace("day string", "day int"))
+    with pytest.raises(Exception, match="cannot take"):
+        load_table(days, contract, "refused")
+
+
+def test_a_standing_table_is_overwritten_in_place(spark):
+    names = "date string, day int, month int, year int, weekofyear int, dayofweek int"
+    for day in (1, 2):
+        df = spark.createDataFrame([(f"2016-04-0{day}", day, 4, 2016, 13, 6)], names)
+        load_table(df, contracts.DATE, "standing", "overwrite")
+        made = spark.sql("DESCRIBE TABLE EXTENDED standing").where("col_name = 'Created Time'").first()
+        assert [r["day"] for r in spark.table("standing").collect()] == [day]
+        assert day == 1 or made == first
+        first = made
+
+
 def test_table_refresh_replaces_only_delivered_months(spark, visits, rows):
     contract = contracts.TableContract("visits", visits.schema, ("cicid",))
     months = ["i94yr", "i94mon"]
-    load_table(visits, contract, "monthly", "refresh", partition_by=months)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    every = [(2016, 4), (2016, 5), (2016, 6)]
+    load_table(visits, contract, "monthly", "refresh", partition_by=months, partitions=every)
     again = visits.where("i94mon = 5").withColumn("batch", F.lit("second"))
     for _ in range(2):
-        load_table(again, contract, "monthly", "refresh", partition_by=months)
+        load_table(
+            again, contract, "monthly", "refresh", partition_by=months, partitions=[(2016, 5)]
+        )
         got = rows(spark.table("monthly").groupBy("i94mon", "batch").count())
         assert {(m, b) for m, b, _ in got} == {(4, "first"), (5, "second"), (6, "first")}
         assert sum(n for *_, n in got) == 4000
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     with pytest.raises(ValueError, match="partition columns"):
         load_table(visits, contract, "monthly", "refresh")
+    with pytest.raises(ValueError, match="delivered partitions"):
+        load_table(visits, contract, "monthly", "refresh", partition_by=months)
+    with pytest.raises(ValueError, match="outside the refresh"):
+        load_table(
+            visits, contract, "monthly", "refresh", partition_by=months, partitions=[(2016, 5)]
+        )
+    again.write.partitionBy(*months).saveAsTable("monthly_plain")
+    with pytest.raises(ValueError, match="replaced whole"):
+        load_table(
+            again, contract, "monthly_plain", "refresh", partition_by=months, partitions=[(2016, 5)]
+        )
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert one != two and Path(one).parent == Path(base)
+    assert one != two and Path(one).parent.parent == Path(base)
+    assert Path(one).parent.name == f"starmart-{spark.sparkContext.applicationId}"

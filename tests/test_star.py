@@ -102,20 +102,62 @@ def test_command_line(spark, sources, tmp_path, capsys):
     names = ("immigration", "temperature", "demographics", "country_lookup", "state_lookup")
     paths = [v for n in names for v in (f"--{n.replace('_', '-')}", getattr(sources, n))]
     load = ["--load", "--prefix", "cli_", "--months", "2016-04"]
-    main([*paths, "--out", str(tmp_path / "o"), *load])
-    assert "references_state:i94addr" in capsys.readouterr().out
+    assert main([*paths, "--out", str(tmp_path / "o"), *load]) == 0
+    out = capsys.readouterr().out
+    assert "ok     immigration: references_state:i94addr observed 0" in out
     assert spark.table("cli_immigration").count() == 2
 
 
+def test_command_line_fails_on_a_failed_check(spark, sources, tmp_path, capsys):
+    (tmp_path / "states.csv").write_text("Code,State\nCA,CALIFORNIA\n")
+    names = ("immigration", "temperature", "demographics", "country_lookup", "state_lookup")
+    paths = [v for n in names for v in (f"--{n.replace('_', '-')}", getattr(sources, n))]
+    assert main([*paths, "--out", str(tmp_path / "o")]) == 1
+    assert "FAILED immigration: references_state:i94addr observed 1" in capsys.readouterr().out
+
+
 def test_refresh_replaces_only_delivered_months(spark, sources, tmp_path, rows):
     out = str(tmp_path / "out")
     star.build_star(spark, sources, out)
     lines = IMMIGRATION.splitlines()
     (tmp_path / "immigration.csv").write_text("\n".join([lines[0], lines[3].replace("BA", "LH")]))
     for _ in range(2):
-        tables = star.build_star(spark, sources, out, refresh=True)
+        tables = star.build_star(spark, sources, out, refresh=[(2016, 5)])
         assert rows(tables["immigration"], "cicid", "airline") == [(6, "AA"), (7, None), (8, "LH")]
         assert tables["date"].count() == 5
+    with pytest.raises(ValueError, match="1 rows lie outside"):
+        star.build_star(spark, sources, out, refresh=[(2016, 4)])
+
+
+def test_refresh_adds_dates_from_the_refreshed_months_alone(spark, sources, tmp_path, rows):
+    out = str(tmp_path / "out")
+    star.build_star(spark, sources, out)
+    lines = IMMIGRATION.splitlines()
+    line = lines[3].replace("20580.0", "20583.0")
+    (tmp_path / "immigration.csv").write_text("\n".join([lines[0], line, lines[1]]))
+    tables = star.build_star(
+        spark, sources, out, refresh=[(2016, 5)], rejects=str(tmp_path / "rejects")
+    )
+    assert tables["date"].count() == 6
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")), "cicid") == [(6,)]
+    assert rows(tables["immigration"], "cicid") == [(6,), (7,), (8,)]
+
+
+def test_load_does_not_shuffle_the_staged_fact(spark, sources, tmp_path, monkeypatch):
+    tables = star.build_star(spark, sources, str(tmp_path / "out"))
+    seen = []
+    real = star.load_table
+    monkeypatch.setattr(star, "load_table", lambda *a, **k: seen.append(k["rebalance"]) or real(*a, **k))
+    star.load_star(spark, tables, prefix="unshuffled_", full_checks=True)
+    assert seen == [False] * 4
+
+
+def test_nothing_is_published_if_a_check_fails(spark, sources, tmp_path):
+    tables = star.build_star(spark, sources, str(tmp_path / "out"))
+    twice = tables["state"].unionByName(tables["state"])
+    with pytest.raises(ValueError, match="state: unique_key"):
+        star.load_star(spark, {**tables, "state": twice}, prefix="held_", full_checks=True)
+    assert not spark.catalog.tableExists("held_immigration")
 
 
 def test_a_path_of_none_skips_the_write(spark, sources, tmp_path):
