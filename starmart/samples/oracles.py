@@ -37,8 +37,11 @@ _CTES = {
         CAST(depdate - arrdate AS INTEGER) AS stay
       FROM visits_raw""",
     "demographics_raw": """
-      SELECT s.s_name AS "City", n.n_name AS "State",
-        CAST(s.s_nationkey AS VARCHAR) AS "State Code", c.c_mktsegment AS "Race",
+      SELECT s.s_name AS "City",
+        CASE WHEN s.s_suppkey % 10 = 0 THEN lower(n.n_name) ELSE n.n_name END AS "State",
+        CAST(s.s_nationkey AS VARCHAR) AS "State Code",
+        CASE WHEN s.s_suppkey % 4 = 0 AND c.c_mktsegment = 'BUILDING' THEN 'BUILDING B'
+          ELSE c.c_mktsegment END AS "Race",
         CAST(sum(l.l_quantity) AS INTEGER) AS "Count", max(t.median_age) AS "Median Age",
         max(t.total_pop) AS "Total Population", max(t.male_pop) AS "Male Population",
         max(t.total_pop - t.male_pop) AS "Female Population",
@@ -54,16 +57,16 @@ _CTES = {
                 AS male_pop,
               CAST(max(l_quantity) AS DOUBLE) AS median_age
             FROM lineitem GROUP BY l_suppkey) t ON t.l_suppkey = s.s_suppkey
-      WHERE NOT (s.s_suppkey % 4 = 0 AND c.c_mktsegment = 'BUILDING')
-      GROUP BY s.s_name, n.n_name, s.s_nationkey, c.c_mktsegment""",
+      GROUP BY ALL""",
     "temperature_raw": """
       SELECT CAST(CAST(e.ts AS DATE) AS VARCHAR) AS dt,
         CASE WHEN e.event_id % 11 <> 0 THEN CAST(e.value AS VARCHAR) END AS "AverageTemperature",
-        c.c_name AS "City", n.n_name AS "Country",
+        c.c_name AS "City",
+        CASE WHEN n.n_regionkey = 3 THEN concat('OLD ', n.n_name) ELSE n.n_name END AS "Country",
         CAST(c.c_custkey % 90 AS VARCHAR) AS "Latitude",
         CAST(c.c_custkey % 180 AS VARCHAR) AS "Longitude"
       FROM events e JOIN customer c ON c.c_custkey = e.user_id
-      JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE n.n_regionkey <> 3""",
+      JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "country_lookup": """
       SELECT CAST(n_nationkey AS VARCHAR) AS "Code",
         CASE WHEN n_nationkey % 5 = 0 THEN concat('INVALID: ', upper(n_name))
@@ -107,7 +110,7 @@ _CTES = {
       FROM city_first f JOIN city_races r
         ON r."City" = f."City" AND r."State" = f."State" AND r."State Code" = f."State Code" """,
     "states": """
-      SELECT "State Code", "State", CAST(sum("MalePopulation") AS BIGINT) AS "MalePopulation",
+      SELECT "State Code", min("State") AS "State", CAST(sum("MalePopulation") AS BIGINT) AS "MalePopulation",
         CAST(sum("FemalePopulation") AS BIGINT) AS "FemalePopulation",
         CAST(sum("TotalPopulation") AS BIGINT) AS "TotalPopulation",
         CAST(sum("NumberVeterans") AS BIGINT) AS "NumberVeterans",
@@ -117,7 +120,7 @@ _CTES = {
         CAST(sum("BlackOrAfricanAmerican") AS BIGINT) AS "BlackOrAfricanAmerican",
         CAST(sum("HispanicOrLatino") AS BIGINT) AS "HispanicOrLatino",
         CAST(sum("White") AS BIGINT) AS "White"
-      FROM cities GROUP BY "State Code", "State" """,
+      FROM cities GROUP BY "State Code" """,
     "state": r"""
       SELECT k."Code", coalesce(s."State", array_to_string(list_transform(
           regexp_extract_all(lower(k."State"), '\p{L}+|\P{L}+'),
@@ -199,6 +202,8 @@ def _sql(body: str, *needs: str) -> str:
 
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "BUILDING B", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 _MEASURES = [
     "MalePopulation", "FemalePopulation", "TotalPopulation", "NumberVeterans", "ForeignBorn",
     "AmericanIndianAndAlaskaNative", "Asian", "BlackOrAfricanAmerican", "HispanicOrLatino",
@@ -210,14 +215,15 @@ _VISIT_COLUMNS = [
     "airline", "fltno", "i94mode", "i94port", "visatype", "gender", "i94cit", "i94bir",
 ]
 
-# Contract column: expected type, type in the source, whether the source has it.
+# Contract column: expected type, type in the source. Dates are asked for as text of the form
+# YYYY-MM-DD; the source has day numbers, none of which is such a text.
 _CONTRACT = {
     **dict.fromkeys(
         ["i94mon", "cicid", "i94visa", "i94res", "i94yr", "i94mode", "i94cit", "i94bir"],
         ("int", "double"),
     ),
-    "arrdate": ("string", "double"),
-    "depdate": ("string", "double"),
+    "arrdate": ("date text", "double"),
+    "depdate": ("date text", "double"),
     **dict.fromkeys(
         ["airline", "fltno", "i94port", "visatype", "gender", "i94addr"], ("string", "string")
     ),
@@ -246,11 +252,12 @@ def _failures(column: str) -> str:
 
 
 def _conformance(column: str, expected: str, actual: str) -> str:
-    sql_type = {"int": "INTEGER", "string": "VARCHAR"}[expected]
-    failed = (
-        f'count(*) FILTER (WHERE "{column}" IS NOT NULL '
-        f'AND TRY_CAST("{column}" AS {sql_type}) IS NULL)'
-    )
+    misfit = {
+        "int": f'TRY_CAST("{column}" AS INTEGER) IS NULL OR "{column}" <> floor("{column}")',
+        "string": "false",
+        "date text": "true",
+    }[expected]
+    failed = f'count(*) FILTER (WHERE "{column}" IS NOT NULL AND ({misfit}))'
     return (
         f"SELECT 'immigration' AS \"table\", '{column}' AS \"column\", "
         f"'{expected}' AS expected_type, '{actual}' AS actual_type, {failed} AS failed, "
@@ -278,9 +285,17 @@ def _keyed(table: str, view: str, key: str) -> list[str]:
     return [_check(table, "unique_key", dups), _check(table, "not_null", nulls)]
 
 
-def _referenced(column: str, table: str, view: str, key: str) -> str:
+# The fact and the state dimension with faults.
+_BROKEN = """(SELECT * REPLACE (CASE WHEN cicid % 97 <> 0 THEN cicid END AS cicid,
+    CASE WHEN i94res % 5 = 0 THEN i94res + 100 ELSE i94res END AS i94res,
+    CASE WHEN i94addr = '3' THEN 'X3' ELSE i94addr END AS i94addr)
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE cicid % 89 = 1))"""
+_REPEATED = """(SELECT * FROM state UNION ALL SELECT * FROM state WHERE "Code" = '4')"""
+
+
+def _referenced(column: str, table: str, view: str, key: str, fact: str = "fact") -> str:
     count = (
-        f"SELECT count(*) AS n FROM fact WHERE {column} IS NOT NULL "
+        f"SELECT count(*) AS n FROM {fact} WHERE {column} IS NOT NULL "
         f"AND {column} NOT IN (SELECT {key} FROM {view})"
     )
     return _check("immigration", f"references_{table}:{column}", count)
@@ -319,12 +334,36 @@ ORACLES: dict[str, str] = {
         "FROM fact",
         "fact",
     ),
+    "monthly_upsert_rejects": _sql(
+        "SELECT * REPLACE ('stray' AS fltno) FROM fact WHERE i94yr = 1996 AND i94mon = 1 "
+        "UNION ALL SELECT * REPLACE ('revised' AS fltno, CAST(NULL AS INTEGER) AS i94mon) "
+        "FROM fact WHERE i94yr = 1995 AND cicid % 50 = 0",
+        "fact",
+    ),
+    "land_city_temperature": _sql(
+        "SELECT * REPLACE (concat('CITY_', right(\"City\", 1)) AS \"City\") FROM temperature_raw",
+        "temperature_raw",
+    ),
+    "land_airports": """
+      SELECT s_name AS ident, concat('type ', s_suppkey % 3) AS type, n_name AS iso_country
+      FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
+    "city_write": _sql("SELECT * FROM cities", "cities"),
+    "optional_outputs": _sql("SELECT * FROM fact", "fact"),
+    "build_star_visits": _sql("SELECT * FROM fact", "fact"),
+    "build_star_dates": _sql("SELECT * FROM dates", "dates"),
+    "build_star_countries": _sql(_rounded_country(), "country"),
+    "build_star_states": _sql("SELECT * FROM state", "state"),
     "land_raw": _sql("SELECT * FROM temperature_raw", "temperature_raw"),
     "load_contract_fact": _sql(
         "SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate, "
         "CAST(depdate AS VARCHAR) AS depdate) FROM fact",
         "fact",
     ),
+    "load_contract_text": _sql(
+        "SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate, "
+        "CAST(depdate AS VARCHAR) AS depdate) FROM fact",
+        "fact",
+    ),
     "load_contract_date": _sql(
         "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM dates", "dates"
     ),
@@ -392,16 +431,32 @@ ORACLES: dict[str, str] = {
     ),
     "lookup_decode": _sql(
         """SELECT f.cicid, f.i94mode, f.i94visa, f.i94port,
-          CASE f.i94mode WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land'
-            WHEN 9 THEN 'Not reported' END AS mode,
-          CASE f.i94visa WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure'
-            WHEN 3 THEN 'Student' END AS visa,
+          CASE f.i94mode WHEN 1 THEN 'A first mode' ELSE concat('Mode ', f.i94mode) END AS mode,
+          CASE f.i94visa WHEN 1 THEN 'Visa F' WHEN 2 THEN 'Visa O' ELSE 'Visa P' END AS visa,
           p.port
         FROM fact f LEFT JOIN (SELECT DISTINCT left(o_orderpriority, 1) AS id,
             o_orderpriority[3:] AS port FROM orders) p ON p.id = f.i94port""",
         "fact",
     ),
+    "fixed_codes": _sql(
+        """SELECT cicid, i94mode, i94visa,
+          CASE i94mode WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land'
+            WHEN 9 THEN 'Not reported' END AS mode,
+          CASE i94visa WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure'
+            WHEN 3 THEN 'Student' END AS visa
+        FROM fact""",
+        "fact",
+    ),
     # aggregates
+    "pivot_discovered": _sql(
+        'SELECT "City", "State", "State Code", '
+        + ", ".join(
+            f'CAST(sum("Count") FILTER (WHERE "Race" = \'{r}\') AS BIGINT) AS "{r}"'
+            for r in _SEGMENTS
+        )
+        + ' FROM demographics_raw GROUP BY "City", "State", "State Code"',
+        "demographics_raw",
+    ),
     "country_temperature": _sql(
         'SELECT * REPLACE (round("Temperature", 4) AS "Temperature") FROM climates', "climates"
     ),
@@ -467,6 +522,11 @@ ORACLES: dict[str, str] = {
         _union([_profile(c, "visits_raw") for c in _VISIT_COLUMNS]), "visits_raw"
     ),
     "drop_high_null": _sql("SELECT cicid, fltno, airline FROM visits_raw", "visits_raw"),
+    "unknown_categories": _sql(
+        """SELECT "Race" AS value, count(*) AS rows, CAST(sum("Count") AS BIGINT) AS total
+        FROM demographics_raw WHERE "Race" = 'BUILDING B' GROUP BY "Race" """,
+        "demographics_raw",
+    ),
     "cast_failures": _sql(
         _union(
             [
@@ -482,15 +542,18 @@ ORACLES: dict[str, str] = {
         "visits_raw",
     ),
     "orphans_country": _sql(
-        """SELECT i94res AS code, count(*) AS visits FROM fact WHERE i94res IS NOT NULL
-          AND i94res NOT IN (SELECT "Code" FROM country WHERE "Temperature" IS NOT NULL)
+        """SELECT i94res AS code, count(*) AS visits
+        FROM (SELECT CASE WHEN i94res % 7 = 3 THEN i94res + 100 ELSE i94res END AS i94res FROM fact)
+        WHERE i94res IS NOT NULL AND i94res NOT IN (SELECT "Code" FROM country)
         GROUP BY i94res""",
         "fact",
         "country",
     ),
     "orphans_state": _sql(
-        """SELECT i94addr AS code, count(*) AS visits FROM fact WHERE i94addr IS NOT NULL
-          AND i94addr NOT IN (SELECT "Code" FROM state WHERE "NumberVeterans" > 10)
+        """SELECT i94addr AS code, count(*) AS visits
+        FROM (SELECT CASE WHEN i94addr IN ('3', '11') THEN 'X' || i94addr ELSE i94addr END
+                AS i94addr FROM fact)
+        WHERE i94addr IS NOT NULL AND i94addr NOT IN (SELECT "Code" FROM state)
         GROUP BY i94addr""",
         "fact",
         "state",
@@ -529,6 +592,29 @@ ORACLES: dict[str, str] = {
         "state",
         "dates",
     ),
+    "star_checks_failing": _sql(
+        _union(
+            [
+                _filled("immigration", _BROKEN),
+                _filled("date", "dates"),
+                _filled("country", "country"),
+                _filled("state", _REPEATED),
+                *_keyed("immigration", _BROKEN, "cicid"),
+                *_keyed("country", "country", '"Code"'),
+                *_keyed("state", _REPEATED, '"Code"'),
+                *_keyed("date", "dates", "date"),
+                _referenced("i94cit", "country", "country", '"Code"', _BROKEN),
+                _referenced("i94res", "country", "country", '"Code"', _BROKEN),
+                _referenced("arrdate", "date", "dates", "date", _BROKEN),
+                _referenced("depdate", "date", "dates", "date", _BROKEN),
+                _referenced("i94addr", "state", "state", '"Code"', _BROKEN),
+            ]
+        ),
+        "fact",
+        "country",
+        "state",
+        "dates",
+    ),
     # questions
     "visits_by_nationality": _sql(
         """SELECT v.i94cit, c."Country", v.visits

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from starmart import contracts
 from starmart import functions as fn
 from starmart.operators import aggregates, dims, facts, joins, quality, shape
-from starmart.plans import analytics
-from starmart.plans.star import MONTH
+from starmart.plans import analytics, star
+from starmart.plans.star import MONTH, in_months
 from starmart.samples import views
 from starmart.session import scratch_dir
 from starmart.sources import (
@@ -53,8 +53,8 @@ def _state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _state_names(spark: SparkSession, sf: str) -> DataFrame:
-    """The part of the state dimension the reports print."""
-    return _state(spark, sf).select("Code", "State")
+    """The part of the state dimension the reports print, from the names alone."""
+    return dims.state_dim(views.city_names(spark, sf), views.state_lookup(spark, sf), ())
 
 
 def _country(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,15 +116,35 @@ def partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     return read_source(spark, path, "parquet")
 
 
+YEAR = [(1995, month) for month in range(1, 13)]
+
+
+def _delivered(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A full load, then the months of 1995 delivered once more with revised flights.
+
+    The delivery also holds rows of January 1996 and rows without a month. Paths of the
+    stored table and of what was rejected.
+    """
+    path, rejects = scratch_dir(spark, "visits"), scratch_dir(spark, "rejects")
+    save(_fact(spark, sf), path, partition_by=MONTH)
+    stored = read_source(spark, path, "parquet")
+    revised = stored.where(F.col("i94yr") == 1995).withColumn("fltno", F.lit("revised"))
+    stray = stored.where(in_months([(1996, 1)])).withColumn("fltno", F.lit("stray"))
+    undated = revised.where(F.col("cicid") % 50 == 0).withColumn("i94mon", F.lit(None).cast("int"))
+    delivery = scratch_dir(spark, "delivery")
+    save(revised.unionByName(stray).unionByName(undated), delivery)
+    upsert_partitions(read_source(spark, delivery, "parquet"), path, YEAR, rejects=rejects)
+    return path, rejects
+
+
 @query
 def monthly_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """A full load, then the months of 1995 delivered once more with revised flights."""
-    path = scratch_dir(spark, "visits")
-    fact = _fact(spark, sf)
-    upsert_partitions(fact, path)
-    revised = fact.where(F.col("i94yr") == 1995).withColumn("fltno", F.lit("revised"))
-    upsert_partitions(revised, path)
-    return read_source(spark, path, "parquet")
+    return read_source(spark, _delivered(spark, sf)[0], "parquet")
+
+
+@query
+def monthly_upsert_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return read_source(spark, _delivered(spark, sf)[1], "parquet")
 
 
 @query
@@ -135,6 +155,85 @@ def land_raw(spark: SparkSession, sf: str) -> DataFrame:
     return read_source(spark, target, "parquet")
 
 
+def _as_csv(spark: SparkSession, df: DataFrame, **options) -> str:
+    path = scratch_dir(spark, "csv")
+    save(df, path, fmt="csv", header=True, **options)
+    return path
+
+
+@query
+def land_city_temperature(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_dir(spark, "landed")
+    star.land_temperature(spark, _as_csv(spark, views.city_temperature_raw(spark, sf)), target)
+    return read_source(spark, target, "parquet")
+
+
+@query
+def land_airports(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_dir(spark, "landed")
+    star.land_airports(spark, _as_csv(spark, views.airports_raw(spark, sf)), target)
+    return read_source(spark, target, "parquet")
+
+
+@query
+def city_write(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_dir(spark, "cities")
+    source = _as_csv(spark, views.demographics_raw(spark, sf), sep=";")
+    star.build_city_demographics(spark, source, target, races=views.RACES)
+    # Partition values are read back as numbers where they look like some.
+    stored = read_source(spark, target, "parquet")
+    return stored.withColumn("State Code", F.col("`State Code`").cast("string"))
+
+
+@query
+def optional_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The job without paths to write to: the fact alone."""
+    return star.build_visits(spark, _as_csv(spark, views.visits_raw(spark, sf)))
+
+
+def _built_visits(spark: SparkSession, sf: str) -> tuple[str, str]:
+    visits, dates = scratch_dir(spark, "visits"), scratch_dir(spark, "dates")
+    star.build_visits(spark, _as_csv(spark, views.visits_raw(spark, sf)), visits, dates)
+    return visits, dates
+
+
+@query
+def build_star_visits(spark: SparkSession, sf: str) -> DataFrame:
+    return read_source(spark, _built_visits(spark, sf)[0], "parquet")
+
+
+@query
+def build_star_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return read_source(spark, _built_visits(spark, sf)[1], "parquet")
+
+
+@query
+def build_star_countries(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_dir(spark, "countries")
+    star.build_countries(
+        spark,
+        _as_csv(spark, views.temperature_raw(spark, sf)),
+        _as_csv(spark, views.country_lookup(spark, sf)),
+        target,
+        country_overrides=views.COUNTRY_OVERRIDES,
+        lookup_overrides=views.LOOKUP_OVERRIDES,
+    )
+    return _rounded(read_source(spark, target, "parquet"), "Temperature")
+
+
+@query
+def build_star_states(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_dir(spark, "states")
+    star.build_states(
+        spark,
+        _as_csv(spark, views.demographics_raw(spark, sf), sep=";"),
+        _as_csv(spark, views.state_lookup(spark, sf)),
+        target,
+        races=views.RACES,
+    )
+    return read_source(spark, target, "parquet")
+
+
 def _loaded(spark: SparkSession, df: DataFrame, contract: contracts.TableContract) -> DataFrame:
     """What a load wrote. The catalog entry goes again, the table's files stay."""
     path = scratch_dir(spark, contract.name)
@@ -148,6 +247,15 @@ def load_contract_fact(spark: SparkSession, sf: str) -> DataFrame:
     return _loaded(spark, _fact(spark, sf), contracts.IMMIGRATION)
 
 
+@query
+def load_contract_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers that come as text with a fraction of nothing."""
+    fact = _fact(spark, sf)
+    whole = [name for name, dtype in fact.dtypes if dtype == "int"]
+    text = fact.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in whole})
+    return _loaded(spark, text, contracts.IMMIGRATION)
+
+
 @query
 def load_contract_date(spark: SparkSession, sf: str) -> DataFrame:
     return _loaded(spark, date_dim(spark, sf), contracts.DATE)
@@ -278,12 +386,21 @@ def lower_key_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lookup_decode(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "ports")
-    save(views.port_lookup(spark, sf), path, fmt="csv", header=True)
+    """Three code tables read from files, one of which lists a code twice."""
+    modes = read_lookup(spark, _as_csv(spark, views.mode_lookup(spark, sf)), int_code="ID")
+    visas = read_lookup(spark, _as_csv(spark, views.visa_lookup(spark, sf)), int_code="ID")
+    ports = read_lookup(spark, _as_csv(spark, views.port_lookup(spark, sf)))
     fact = _fact(spark, sf, "cicid", "i94mode", "i94visa", "i94port")
+    fact = joins.decode(fact, modes, "i94mode", "ID", "Mode", "mode")
+    fact = joins.decode(fact, visas, "i94visa", "ID", "Visa", "visa")
+    return joins.decode(fact, ports, "i94port", "ID", "Port", "port")
+
+
+@query
+def fixed_codes(spark: SparkSession, sf: str) -> DataFrame:
+    fact = _fact(spark, sf, "cicid", "i94mode", "i94visa")
     fact = joins.decode_fixed(fact, joins.MODES, "i94mode", "mode")
-    fact = joins.decode_fixed(fact, joins.VISAS, "i94visa", "visa")
-    return joins.decode(fact, read_lookup(spark, path), "i94port", "ID", "Port", "port")
+    return joins.decode_fixed(fact, joins.VISAS, "i94visa", "visa")
 
 
 # -- aggregates --------------------------------------------------------------------------
@@ -302,6 +419,11 @@ def pivot_sum(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def pivot_discovered(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregates.pivot_sum(views.demographics_raw(spark, sf), KEYS, "Race", "Count")
+
+
 @query
 def state_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return dims.state_rollup(_cities(spark, sf))
@@ -398,6 +520,13 @@ def drop_high_null(spark: SparkSession, sf: str) -> DataFrame:
     return quality.drop_high_null(raw, threshold=0.25)
 
 
+@query
+def unknown_categories(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.unknown_categories(
+        views.demographics_raw(spark, sf), "Race", "Count", list(views.RACES)
+    )
+
+
 @query
 def cast_failures(spark: SparkSession, sf: str) -> DataFrame:
     names = ["cicid", "i94addr", "airline", "gender", "fltno", "visatype"]
@@ -413,16 +542,22 @@ def schema_conformance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def orphans_country(spark: SparkSession, sf: str) -> DataFrame:
-    """Origins without a climate on record."""
-    climates = _country(spark, sf).where(F.col("Temperature").isNotNull())
-    return quality.orphans(_fact(spark, sf, "i94res"), "i94res", climates, "Code")
+    """Some origins carry codes that the dimension lacks."""
+    code = F.col("i94res")
+    fact = _fact(spark, sf, "i94res").select(
+        F.when(code % 7 == 3, code + 100).otherwise(code).alias("i94res")
+    )
+    return quality.orphans(fact, "i94res", _country(spark, sf), "Code")
 
 
 @query
 def orphans_state(spark: SparkSession, sf: str) -> DataFrame:
-    """Destinations without a city that counts more than ten veterans in all."""
-    states = _state(spark, sf).where(F.col("NumberVeterans") > 10)
-    return quality.orphans(_fact(spark, sf, "i94addr"), "i94addr", states, "Code")
+    """Some destinations carry codes that the dimension lacks."""
+    code = F.col("i94addr")
+    fact = _fact(spark, sf, "i94addr").select(
+        F.when(code.isin("3", "11"), F.concat(F.lit("X"), code)).otherwise(code).alias("i94addr")
+    )
+    return quality.orphans(fact, "i94addr", _state(spark, sf), "Code")
 
 
 @query
@@ -456,6 +591,27 @@ def star_checks(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check_star(loaded, contracts.STAR)
 
 
+@query
+def star_checks_failing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every check meets its fault: repeated and missing keys, and references to nothing."""
+    fact, state = _fact(spark, sf), _state(spark, sf)
+    origin, address = F.col("i94res"), F.col("i94addr")
+    broken = fact.unionByName(fact.where(F.col("cicid") % 89 == 1)).withColumns(
+        {
+            "cicid": F.when(F.col("cicid") % 97 != 0, F.col("cicid")),
+            "i94res": F.when(origin % 5 == 0, origin + 100).otherwise(origin),
+            "i94addr": F.when(address == "3", "X3").otherwise(address),
+        }
+    )
+    tables = {
+        "immigration": broken,
+        "date": date_dim(spark, sf),
+        "country": _country(spark, sf),
+        "state": state.unionByName(state.where(F.col("Code") == "4")),
+    }
+    return quality.check_star(tables, contracts.STAR)
+
+
 # -- questions ---------------------------------------------------------------------------
 
 

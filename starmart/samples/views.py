@@ -7,7 +7,6 @@ feed none of them are not built.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +30,11 @@ LOOKUP_OVERRIDES = [
 ]
 
 
-@lru_cache(maxsize=256)
+# What the fixed list of races leaves out.
+OTHER_RACE = "BUILDING B"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its footer is read once per session, not once per query."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -90,9 +91,32 @@ def visits_raw(
     return df.select(*[build[c]().alias(c) for c in columns])
 
 
+def _spelt_state() -> Column:
+    lower = F.col("s_suppkey") % 10 == 0
+    return F.when(lower, F.lower("n_name")).otherwise(F.col("n_name"))
+
+
+def city_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the demographics alone, for callers that read no figures."""
+    sold = table(spark, sf_dir, "lineitem").select("l_suppkey").distinct()
+    return (
+        table(spark, sf_dir, "supplier")
+        .join(sold, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+        .select(
+            F.col("s_name").alias("City"),
+            _spelt_state().alias("State"),
+            F.col("s_nationkey").cast("string").alias("State Code"),
+        )
+    )
+
+
 def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as cities, market segments as races, quantities as head counts.
 
+    Every fourth supplier reports one segment under a label of its own, and every tenth spells
+    its state in lower case.
+
     Orders find their segment before they meet the line items, which are then moved once,
     and summed per supplier and segment before names are joined on.
     """
@@ -102,8 +126,13 @@ def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     segments = (
         lineitem.join(bought, F.col("o_orderkey") == F.col("l_orderkey"))
-        .where(~((F.col("l_suppkey") % 4 == 0) & (F.col("c_mktsegment") == "BUILDING")))
-        .groupBy("l_suppkey", "c_mktsegment")
+        .withColumn(
+            "race",
+            F.when(
+                (F.col("l_suppkey") % 4 == 0) & (F.col("c_mktsegment") == "BUILDING"), OTHER_RACE
+            ).otherwise(F.col("c_mktsegment")),
+        )
+        .groupBy("l_suppkey", "race")
         .agg(F.sum("l_quantity").alias("quantity"))
     )
     even = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity")).otherwise(0)
@@ -117,7 +146,7 @@ def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         segments.join(totals, F.col("l_suppkey") == F.col("t_suppkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
-        .groupBy("s_name", "n_name", "s_nationkey", "c_mktsegment")
+        .groupBy("s_name", _spelt_state().alias("state"), "s_nationkey", "race")
         .agg(
             F.sum("quantity").cast("int").alias("Count"),
             F.max("median_age").alias("Median Age"),
@@ -130,9 +159,9 @@ def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(
             F.col("s_name").alias("City"),
-            F.col("n_name").alias("State"),
+            F.col("state").alias("State"),
             F.col("s_nationkey").cast("string").alias("State Code"),
-            F.col("c_mktsegment").alias("Race"),
+            F.col("race").alias("Race"),
             "Count",
             *[F.col(f"`{c}`") for c in (*CITY_COUNTS, *CITY_AVERAGES)],
         )
@@ -140,9 +169,15 @@ def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as readings, taken where the customer of the event lives."""
+    """Events as readings, taken where the customer of the event lives.
+
+    The countries of one region go by names that the code table lacks.
+    """
     key = F.col("c_custkey")
-    nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 3)
+    nations = table(spark, sf_dir, "nation")
+    renamed = F.when(
+        F.col("n_regionkey") == 3, F.concat(F.lit("OLD "), F.col("n_name"))
+    ).otherwise(F.col("n_name"))
     homes = table(spark, sf_dir, "customer").join(
         nations, F.col("n_nationkey") == F.col("c_nationkey")
     )
@@ -155,7 +190,7 @@ def temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "AverageTemperature"
             ),
             F.col("c_name").alias("City"),
-            F.col("n_name").alias("Country"),
+            renamed.alias("Country"),
             (key % 90).cast("string").alias("Latitude"),
             (key % 180).cast("string").alias("Longitude"),
         )
@@ -192,3 +227,46 @@ def port_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
+
+
+def mode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modes by the leading digit of the order priority; one code is listed twice."""
+    code = F.substring("o_orderpriority", 1, 1)
+    modes = (
+        table(spark, sf_dir, "orders")
+        .select(code.alias("ID"), F.concat(F.lit("Mode "), code).alias("Mode"))
+        .distinct()
+    )
+    return modes.unionByName(
+        spark.range(1).select(F.lit("1").alias("ID"), F.lit("A first mode").alias("Mode"))
+    )
+
+
+def visa_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visa categories by the status of the order."""
+    status = F.col("o_orderstatus")
+    code = F.when(status == "F", "1").when(status == "O", "2").otherwise("3")
+    return (
+        table(spark, sf_dir, "orders")
+        .select(code.alias("ID"), F.concat(F.lit("Visa "), status).alias("Visa"))
+        .distinct()
+    )
+
+
+def city_temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings with few cities, for a layout by country and city."""
+    city = F.concat(F.lit("CITY_"), F.regexp_extract("City", "([0-9])$", 1))
+    return temperature_raw(spark, sf_dir).withColumn("City", city)
+
+
+def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as airports, their nation as the country."""
+    return (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+        .select(
+            F.col("s_name").alias("ident"),
+            F.concat(F.lit("type "), F.col("s_suppkey") % 3).alias("type"),
+            F.col("n_name").alias("iso_country"),
+        )
+    )
