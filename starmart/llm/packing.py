@@ -11,6 +11,8 @@ meets in one task.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +38,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# Fixed values of this kind of tokenizer file: how it normalizes and what it takes for a unit.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+UNIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of these characters alone are normalized by lower() and hold no white space.
+PLAIN = re.compile("[!-~\u00a1-\u00ff]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordEncoder:
     """Token ids of a text as little-endian bytes, word by word.
 
     This tokenizer drops white space and joins nothing across it, so a text's ids are those of
-    its words in turn; ids of words already met are kept, up to a bound.
+    its words in turn, and a plain word's those of its units; ids of words and units already met
+    are kept, up to a bound.
     """
 
     def __init__(self, path: str):
@@ -47,6 +65,28 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.units: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.unit = regex.compile(UNIT)
+        self.letters = byte_letters()
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        kinds = [n["type"] for n in config["normalizer"].get("normalizers", [])]
+        split = config["pre_tokenizer"].get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        self.by_unit = kinds == NORMALIZERS and split == UNIT
+
+    def _unit(self, unit: str) -> bytes:
+        if unit not in self.units:
+            if len(self.units) > CACHED_WORDS:
+                self.units.clear()
+            spelt = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters)
+            self.units[unit] = np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
+        return self.units[unit]
+
+    def _word(self, word: str) -> bytes:
+        if self.by_unit and PLAIN.fullmatch(word) and "<|" not in word:
+            return b"".join([self._unit(u) for u in self.unit.findall(word.lower())])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         words = text.encode().split()
@@ -59,12 +99,8 @@ class WordEncoder:
         if len(known) > CACHED_WORDS:
             known.clear()
             new = list(set(words))
-        for word, found in zip(
-            new,
-            self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False),
-            strict=True,
-        ):
-            known[word] = np.array(found.ids, "<u4").tobytes()
+        for word in new:
+            known[word] = self._word(word.decode())
         return b"".join([known[w] for w in words])
 
 
