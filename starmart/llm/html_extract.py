@@ -24,8 +24,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.html_dom import GROUP, Node, decoded, features, parse
-from starmart.llm.store import delete_at_end, table
+from starmart.llm.html_dom import Node, decoded, features, parse
+from starmart.llm.store import table
 from starmart.session import scratch_dir
 
 SAMPLE = 150  # pages that the trees learn from, the smallest by a hash of their page_id
@@ -190,7 +190,6 @@ def forest_of(spark: SparkSession, model) -> Forest:
     """Reads the fitted model's own files: a bounded number of trees of bounded depth."""
     path = scratch_dir(spark, "trees")
     model.write().save(path)
-    delete_at_end(spark, path)
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
     trees = []
     for tree, weight in enumerate(model.treeWeights):
@@ -252,5 +251,3 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
-
-_ = GROUP

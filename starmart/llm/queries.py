@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from starmart.llm import (
     fingerprints,
+    html_extract,
     minhash,
     packing,
     passages,
     quality_classifier,
     quality_rules,
     secret_scans,
+    sentence_pieces,
     url_filters,
 )
 
@@ -22,6 +24,8 @@ QUERIES = {
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_substring_dedup": passages.op8_substring_dedup,
+    "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
+    "op10_html_extraction": html_extract.op10_html_extraction,
 }
 
 ORACLES = {

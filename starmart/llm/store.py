@@ -12,17 +12,10 @@ SPACE = r"\x20\x09-\x0D"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: computed once, safe from lost executors.
-
-    The table goes when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
+    """``df`` as a table in the shared scratch folder: computed once, safe from lost executors."""
+    path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +33,3 @@ def words_of(text: Column) -> Column:
 
 def shuffle_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def delete_at_end(spark: SparkSession, path: str) -> None:
-    """Removes a scratch folder when the driver's JVM ends."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
