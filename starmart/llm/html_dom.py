@@ -64,7 +64,7 @@ TOKEN_GROUPS = (
     ("content", "article", "post", "entry", "story", "main", "body", "text", "prose"),
 )
 TOKEN_OF = {token: i for i, tokens in enumerate(TOKEN_GROUPS) for token in tokens}
-FEATURES = 23 + len(TAG_GROUPS) + 2 * len(TOKEN_GROUPS)
+FEATURES = 26 + len(TAG_GROUPS) + 2 * len(TOKEN_GROUPS)
 
 
 @dataclass
@@ -77,6 +77,7 @@ class Node:
     text: str = ""
     tags: int = 0
     links: int = 0  # characters within links
+    place: int = 0  # among its siblings
     children: list[int] = field(default_factory=list)
 
 
@@ -108,7 +109,8 @@ def parse(page: str) -> list[Node]:
     def open_node(tag: str, tokens: int) -> int:
         up = current()
         parent = nodes[up]
-        nodes.append(Node(tag, up, parent.depth + 1, tokens, parent.above | parent.tokens | _TAG_BITS.get(parent.tag, 0)))
+        above = parent.above | parent.tokens | _TAG_BITS.get(parent.tag, 0)
+        nodes.append(Node(tag, up, parent.depth + 1, tokens, above, place=len(parent.children)))
         parent.children.append(len(nodes) - 1)
         return len(nodes) - 1
 
@@ -220,7 +222,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             finish[up] = finish[i]
     rows = np.zeros((n, FEATURES))
     whole = max(total, 1)
-    base = 23
+    base = 26
     for i, node in enumerate(nodes):
         size = chars[i]
         per = 100 / (size + 20)
@@ -228,6 +230,8 @@ def features(nodes: list[Node]) -> np.ndarray:
         beside = up.children if i else [i]
         same = sum(nodes[c].tag == node.tag for c in beside) if len(beside) < 60 else len(beside)
         kids = node.children
+        place = node.place
+        after = beside[place + 1] if place + 1 < len(beside) else -1
         rows[i, :base] = (
             min(node.depth, 20), log1p(size), links[i] / (size + 1), tags[i] * per, log1p(below[i]), log1p(len(kids)),
             size / whole, start[i] / whole, finish[i] / whole, log1p(size / max(runs[i], 1)), log1p(runs[i]),
@@ -235,6 +239,8 @@ def features(nodes: list[Node]) -> np.ndarray:
             log1p(len(beside)), same / len(beside), size / (chars[node.parent] + 1) if i else 1.0,
             log1p(chars[node.parent]) if i else log1p(size), links[node.parent] / (chars[node.parent] + 1) if i else 0.0,
             GROUP.get(up.tag, -1), float(bool(node.above & 0x1FF)), float(bool(node.above >> 9)),
+            log1p(chars[after]) if after >= 0 else -1.0, links[after] / (chars[after] + 1) if after >= 0 else 0.0,
+            place / len(beside),
         )
         rows[i, base + GROUP[node.tag]] = 1
         for k in range(len(TOKEN_GROUPS)):

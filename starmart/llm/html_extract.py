@@ -32,6 +32,7 @@ SAMPLE = 150  # pages that the trees learn from, the smallest by a hash of their
 SAMPLE_CHARS = 20_000  # longer pages are not taken into the sample
 LAYOUTS = 6
 ROUNDS, DEPTH = 24, 5
+TOGETHER = 64  # pages whose nodes are scored at once
 OUTSIDE = {"nav", "footer", "aside", "header", "form", "dialog"}
 
 
@@ -98,12 +99,28 @@ def laid_out(blocks: list[tuple[str, str]], around: list[str], others: list[str]
     words = " ".join([*around, *others]).split() or ["more"]
     para = lambda: "<p>" + html.escape(draw.choice(others or around or ["More."])[: draw.randint(40, 900)]) + "</p>"
     article = []
+    blocks = list(blocks)
+    if blocks[0][0] == "h1" and draw.random() < 0.5:
+        blocks[0] = ("h1", " ".join(blocks[0][1].split()[: draw.randint(1, 9)]))
+    if draw.random() < 0.4:
+        for at in sorted(draw.sample(range(1, len(blocks) + 1), min(len(blocks), draw.randint(1, 3))), reverse=True):
+            blocks.insert(at, (draw.choice(["h2", "h3"]), " ".join(draw.choices(words, k=draw.randint(1, 7)))))
     for tag, text in blocks:
         body = MARK + html.escape(text)
         if draw.random() < 0.15:
             at = body.find(" ", len(body) // 2)
             body = body[:at] + ' <a href="/y">' + body[at + 1 : at + 30] + "</a> " + body[at + 30 :] if at > 0 else body
-        article.append(f"<ul><li>{body}</li></ul>" if tag == "li" else f"<{tag}>{body}</{tag}>")
+        shape = draw.random()
+        if tag == "h1" and shape < 0.2:
+            article.append(f"<header><h1>{body}</h1></header>")
+        elif tag == "li" or (tag == "p" and shape < 0.06):
+            half = body.find(" ", len(body) // 2)
+            each = [body] if half < 0 else [body[:half], MARK + body[half + 1 :]]
+            article.append("<ul>" + "".join(f"<li>{x}</li>" for x in each) + "</ul>")
+        elif tag == "p" and shape < 0.12:
+            article.append(f"<blockquote><p>{body}</p></blockquote>")
+        else:
+            article.append(f"<{tag}>{body}</{tag}>")
         if draw.random() < 0.06:
             article.append(_box(draw, draw.choice(["ad", "share", "aside", "notice"]), _sentence(draw, words, 3, 20), telling))
     comment = "".join(
@@ -211,7 +228,8 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
     rows, labels = examples([r["html"] for r in short.orderBy("order").limit(sample).collect()])
     if len(set(labels)) < 2:
         return None
-    data = spark.createDataFrame(list(zip(rows, map(float, labels), strict=True)), "x array<double>, label double")
+    data = spark.createDataFrame(
+        pa.table({"x": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(labels, pa.float64())}))
     data = data.select(array_to_vector("x").alias("features"), "label").coalesce(4)
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=1, subsamplingRate=0.8).fit(data)
     return forest_of(spark, model)
@@ -225,11 +243,16 @@ def by_markup(nodes: list[Node]) -> np.ndarray:
 def _extract(forest: Forest | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for page in batch.column(2):
-                nodes = parse(page.as_py())
-                logit = by_markup(nodes) if forest is None else forest.logit(features(nodes))
-                texts.append("\n".join(decoded(nodes, logit)))
+            texts: list[str] = []
+            for at in range(0, batch.num_rows, TOGETHER):
+                trees = [parse(page.as_py()) for page in batch.column(2).slice(at, TOGETHER)]
+                if forest is None:
+                    logits = list(map(by_markup, trees))
+                else:
+                    rows = list(map(features, trees))
+                    ends = np.cumsum([len(r) for r in rows])[:-1]
+                    logits = np.split(forest.logit(np.concatenate(rows)), ends)
+                texts += ["\n".join(decoded(n, g)) for n, g in zip(trees, logits, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
