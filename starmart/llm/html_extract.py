@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.html_dom import Node, decoded, features, parse
-from starmart.llm.store import table
+from starmart.llm.store import table, written
 from starmart.session import scratch_dir
 
-SAMPLE = 150  # pages that the trees learn from, the smallest by a hash of their page_id
+SAMPLE = 120  # pages that the trees learn from, the smallest by a hash of their page_id
 SAMPLE_CHARS = 20_000  # longer pages are not taken into the sample
 LAYOUTS = 6
 ROUNDS, DEPTH = 24, 5
@@ -164,24 +164,24 @@ def labelled(page: str) -> tuple[list[Node], np.ndarray, list[int]]:
     return nodes, features(nodes), [int(h) for h in holds]
 
 
-def examples(pages: list[str], seed: int = 7) -> tuple[list[list[float]], list[int]]:
-    """Rows to learn from: the sampled pages, each laid out several times."""
-    draw = random.Random(seed)
-    split = [s for s in map(sections, pages) if s[0]]
-    rows, labels = [], []
-    for blocks, around in split:
-        for _ in range(LAYOUTS):
-            others = [t for _, t in draw.choice(split)[0]] + draw.choice(split)[1]
-            _, x, y = labelled(laid_out(blocks, around, others, draw))
-            rows += x.tolist()
-            labels += y
-        # And as it is: the page's own layout with its own texts.
-        own = "<html><body>" + "".join(f'<div class="ad">{html.escape(t)}</div>' for t in around[:3]) + "<article>" + "".join(
-            f"<{t if t != 'li' else 'p'}>{MARK}{html.escape(x)}</{t if t != 'li' else 'p'}>" for t, x in blocks) + "</article></body></html>"
-        _, x, y = labelled(own)
-        rows += x.tolist()
-        labels += y
-    return rows, labels
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows to learn from: each page laid out several times, with the texts of its neighbours."""
+    for batch in batches:
+        split = [s for s in (sections(p.as_py()) for p in batch.column(0)) if s[0]]
+        for at, (blocks, around) in enumerate(split):
+            draw = random.Random(at)
+            pages = []
+            for _ in range(LAYOUTS):
+                other = draw.choice(split)
+                pages.append(laid_out(blocks, around, [t for _, t in other[0]] + other[1], draw))
+            # And much as it is: the page's own order with its own texts.
+            own = "".join(f"<{t if t != 'li' else 'p'}>{MARK}{html.escape(x)}</{t if t != 'li' else 'p'}>" for t, x in blocks)
+            beside = "".join(f'<div class="ad">{html.escape(t)}</div>' for t in around[:3])
+            pages.append(f"<html><body>{beside}<article>{own}</article></body></html>")
+            for page in pages:
+                _, x, y = labelled(page)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(y, pa.float64())], ["x", "label"])
 
 
 class Forest:
@@ -225,12 +225,11 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
     spark = pages.sparkSession
     short = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select(
         "html", F.xxhash64(F.col("page_id"), F.col("html")).alias("order"))
-    rows, labels = examples([r["html"] for r in short.orderBy("order").limit(sample).collect()])
-    if len(set(labels)) < 2:
+    pages = short.orderBy("order").limit(sample).select("html").repartition(3)
+    data = written(pages.mapInArrow(_examples, "x array<double>, label double"), "examples")
+    if data.select("label").distinct().count() < 2:
         return None
-    data = spark.createDataFrame(
-        pa.table({"x": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(labels, pa.float64())}))
-    data = data.select(array_to_vector("x").alias("features"), "label").coalesce(4)
+    data = data.select(array_to_vector("x").alias("features"), "label")
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=1, subsamplingRate=0.8).fit(data)
     return forest_of(spark, model)
 
