@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -104,11 +105,17 @@ class WordEncoder:
         return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs, so that known words stay known."""
+    return WordEncoder(path)
+
+
 def _pieces(path: str, size: int):
     step = 4 * size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = _encoder(path)
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
