@@ -72,10 +72,8 @@ def test_groups_equal_brute_force(spark, sf_dir):
     assert got == brute_groups(texts, 3, 85)
 
 
-@pytest.mark.parametrize("big", [2, 256])
-def test_chains_and_crowds(spark, monkeypatch, big):
+def test_chains_and_crowds(spark):
     """Groups whose members are not all alike, keys of many components, hot groups."""
-    monkeypatch.setattr(minhash, "BIG_KEY", big)
     rng = random.Random(5)
     texts = []
     for changes in (1, 3, 6, 9, 14):
@@ -192,6 +190,14 @@ def test_compact_windows_cover_all_passages():
             assert any(low <= i and mid == at and j <= high for low, mid, high in windows)
 
 
+def test_window_starts_are_those_of_the_tree():
+    rng = np.random.default_rng(3)
+    for size in (46, 47, 60, 300):
+        values = rng.permutation(10**6)[:size].astype(np.uint64)
+        tree = {(max(low, at - 45), min(at, high - 46), at) for low, at, high in passages.compact_windows(values)}
+        assert set(zip(*(x.tolist() for x in passages.window_starts(values)), strict=True)) == tree
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
@@ -347,7 +353,7 @@ def test_fold_in_the_lattice_equals_the_one_outside(spark):
 
 def test_pipeline_equals_its_stages_by_brute_force(spark, sf_dir):
     """Each stage against plain Python on that stage's own input."""
-    from test_native import brute_quality, brute_secrets
+    from .test_native import brute_quality, brute_secrets
 
     docs = table(spark, sf_dir, "documents")
     columns = docs.columns
