@@ -1,19 +1,19 @@
 """MinHash near-dedup by tensored banding.
 
 Two collections of ``HALVES`` half keys are computed for each set of shingles, each half key from
-``ROWS`` min-hashes. The key of table (i, j) joins half key i of the first collection with half
-key j of the second, so HALVES**2 tables of 2 * ROWS hashes each cost only 2 * HALVES * ROWS
-min-hashes. Half keys that nothing else has are dropped before any pair is formed, which leaves
-most documents without a table key.
-
-Candidates are confirmed on full sets. Within a table key all are first compared with the least
-of them. Once those links are joined to components, only pairs of different components are
-left: those outside a key's largest component are compared with all others of the key. A key of
-very many is taken apart by an exact prefix filter on its rarest shingles instead.
-
-With ``s`` the similarity of a linked pair, the chance that no table holds both is at most
-2 * (1 - s**ROWS)**HALVES: 2e-5 at 0.85, 4e-4 at 0.8, and far less for closer pairs. Every other
-step is exact.
+``ROWS`` min-hashes. A table key joins two half keys, of different collections or of one, so the
+20 half keys here make 190 tables of 6 hashes each at the cost of 60 min-hashes. Half keys that
+nothing else has are dropped before any pair is formed, which leaves most documents without a
+table key.
+
+Candidates are confirmed on full sets. Within a table key all are first compared with its most
+typical node. Once those links are joined to components, only pairs of different components
+are left. These are found by an exact prefix filter: similar sets share one of their rarest
+shingles, and what is outside a shingle's largest component is compared with all that have it.
+
+A linked pair is missed if less than two of its half keys agree. With p the cube of its
+similarity the chance of that is (1 - p)**20 + 20 * p * (1 - p)**19: 2e-7 at 0.85, 1e-5 at 0.8, and
+far less for closer pairs. Every other step is exact.
 """
 
 from __future__ import annotations
@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 from starmart.llm.shingles import Words, components, folded, shingled
 from starmart.llm.store import table, text_of, written
 
-ROWS, HALVES = 3, 12
-BIG_KEY = 256  # nodes of a key beyond which its rest goes through the prefix filter
+ROWS, HALVES = 3, 10
 
 _SEEDS = np.random.default_rng(20240229).integers(0, 2**64, size=2 * HALVES * ROWS, dtype=np.uint64)
 _TURN = np.uint64(0xBF58476D1CE4E5B9)
@@ -93,8 +92,8 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     alive = halves.join(shared.select("at", "half"), ["at", "half"])
     pair = alive.groupBy("node", "id", "n").agg(F.collect_list(F.struct("at", "half")).alias("alive"))
     return pair.select("node", "id", "n", F.explode(F.expr(
-        f"flatten(transform(filter(alive, x -> x.at < {HALVES}), a ->"
-        f" transform(filter(alive, y -> y.at >= {HALVES}), b -> xxhash64(a.at, a.half, b.at, b.half))))"
+        "flatten(transform(alive, a -> transform(filter(alive, b -> b.at > a.at),"
+        " b -> xxhash64(a.at, a.half, b.at, b.half))))"
     )).alias("key"))
 
 
@@ -103,62 +102,71 @@ def near_enough(percent: int) -> str:
     return f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
 
 
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """The keys of at least two nodes, each row with its node's weight: the rows it meets."""
+    counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    met = written(keyed.join(counts, "key"), "met")
+    weights = met.groupBy("node").agg(F.sum("c").alias("weight"))
+    return met.join(weights, "node")
+
+
 def star_pairs(keyed: DataFrame, percent: int) -> DataFrame:
-    """Each key's nodes paired with its least one."""
-    heads = keyed.groupBy("key").agg(
-        F.count("*").alias("c"), F.min(F.struct("id", "node", "n")).alias("h")).where("c > 1")
+    """Each key's nodes paired with its most typical one, which meets the most others."""
+    heads = keyed.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("h"))
     return (
         keyed.join(heads, "key")
-        .selectExpr("h.node AS a", "node AS b", "h.n AS a_n", "n AS b_n")
+        .selectExpr("least(h.node, node) AS a", "greatest(h.node, node) AS b", "h.n AS a_n", "n AS b_n")
         .where("a <> b").where(near_enough(percent)).select("a", "b").distinct()
     )
 
 
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, short): a set's rarest shingles, so many that similar sets must share one.
+
+    Of two similar sets the smaller one shares at least 2t / (1 + t) of its shingles, so its
+    shorter prefix already meets the longer prefix of the other.
+    """
+    each = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("often"))
+    placed = each.join(often, "key").selectExpr(
+        "key", "node", "size", "row_number() OVER (PARTITION BY node ORDER BY often, key) AS place")
+    return placed.where(f"place <= size - ceil(size * {percent} / 100) + 1").selectExpr(
+        "key", "node", f"place <= size - ceil(size * {2 * percent} / {100 + percent}) + 1 AS short")
+
+
 def rest_pairs(keyed: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components: what is outside a key's largest one, with all of the key."""
     parts = keyed.groupBy("key", "root").agg(F.count("*").alias("c"))
     largest = parts.groupBy("key").agg(
         F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
     open_ = keyed.join(largest.selectExpr("key", "m.root AS major"), "key")
-    minor = open_.where("root <> major").selectExpr("key", "node AS x", "root AS x_root", "n AS x_n")
-    every = open_.selectExpr("key", "node AS y", "root AS y_root", "n AS y_n", "major")
+    minor = open_.where("root <> major").selectExpr(
+        "key", "node AS x", "root AS x_root", "n AS a_n", "short AS x_short")
+    every = open_.selectExpr("key", "node AS y", "root AS y_root", "n AS b_n", "short AS y_short", "major")
     return (
         minor.join(every, "key")
         .where("x_root <> y_root AND (y_root = major OR x < y)")
-        .selectExpr("least(x, y) AS a", "greatest(x, y) AS b", "x_n AS a_n", "y_n AS b_n")
-        .where(near_enough(percent)).select("a", "b").distinct()
+        .where("if(a_n < b_n, x_short, if(a_n > b_n, y_short, x_short OR y_short))")
+        .where(near_enough(percent))
+        .selectExpr("least(x, y) AS a", "greatest(x, y) AS b").distinct()
     )
 
 
-def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, node): a set's rarest shingles, so many that similar sets must share one of them."""
-    each = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("key"))
-    often = each.groupBy("key").agg(F.count("*").alias("often"))
-    placed = each.join(often, "key").selectExpr(
-        "key", "node", "size", "row_number() OVER (PARTITION BY node ORDER BY often, key) AS place")
-    return placed.where(f"place <= size - ceil(size * {percent} / 100) + 1").select("key", "node")
-
-
-class Verifier:
-    """Confirms pairs of nodes on their full sets, made anew from the texts they stand for."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, percent: int):
-        self.docs, self.nodes, self.size, self.percent = docs, nodes, size, percent
+def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, set) of the given nodes (node, id), made anew from the texts they stand for."""
+    ids = nodes.select(F.col("id").alias("doc_id")).distinct()
+    texts = _texts(docs).join(ids, "doc_id", "left_semi")
+    made = texts.select("text").mapInArrow(_sets(size), "node binary, set array<long>")
+    # Rows of one doc_id can hold several texts: only those of the nodes count, each once.
+    return made.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """(node, set) of the nodes in ``wanted``."""
-        ids = self.nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc_id"))
-        texts = _texts(self.docs).join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        made = texts.select("text").mapInArrow(_sets(self.size), "node binary, set array<long>")
-        # Rows of one doc_id can hold several texts: only those of the nodes count, each once.
-        return made.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        sets = written(self.sets(pairs.selectExpr("a AS node").union(pairs.selectExpr("b")).distinct()), "sets")
-        left, right = sets.selectExpr("node AS a", "set AS x"), sets.selectExpr("node AS b", "set AS y")
-        both = pairs.join(left, "a").join(right, "b")
-        sized = both.selectExpr("a", "b", "size(x) + size(y) AS total", "size(array_intersect(x, y)) AS common")
-        return sized.where(f"100 * common >= {self.percent} * (total - common)").select("a", "b")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
+    left, right = sets.selectExpr("node AS a", "set AS x"), sets.selectExpr("node AS b", "set AS y")
+    both = pairs.join(left, "a").join(right, "b")
+    sized = both.selectExpr("a", "b", "size(x) + size(y) AS total", "size(array_intersect(x, y)) AS common")
+    return sized.where(f"100 * common >= {percent} * (total - common)").select("a", "b")
 
 
 def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -173,25 +181,20 @@ def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
         sketch.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("halves").alias("halves")),
         "nodes")
-    keyed = written(table_keys(nodes), "keys")
-    verifier = Verifier(docs, nodes.select("node", "id"), size, percent)
+    keyed = written(shared_keys(table_keys(nodes)), "keys")
+    sets = written(sets_of(docs, keyed.select("node", "id").distinct(), size), "sets")
     pairs = written(star_pairs(keyed, percent), "pairs")
-    links = written(verifier.confirmed(pairs), "confirmed")
+    links = written(confirmed(pairs, sets, percent), "confirmed")
     roots = components(links)
 
-    rooted = keyed.join(roots, "node", "left").selectExpr("key", "node", "n", "coalesce(root, node) AS root")
-    mixed = rooted.groupBy("key").agg(
-        F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high AND c > 2")
-    rooted = written(rooted.join(mixed.select("key", "c"), "key"), "rooted")
-    rest = rest_pairs(rooted.where(f"c <= {BIG_KEY}").drop("c"), percent)
-    big = rooted.where(f"c > {BIG_KEY}").select("node", "n", "root").distinct()
-    if not big.isEmpty():
-        fine = prefixes(verifier.sets(big.select("node")), percent).join(big, "node")
-        rest = rest.union(rest_pairs(fine, percent)).distinct()
-    rest = written(rest.join(pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b"), ["a", "b"], "left_anti"), "rest")
+    rooted = keyed.join(roots, "node", "left").selectExpr("key", "node", "n", "c", "coalesce(root, node) AS root")
+    open_keys = rooted.where("c > 2").groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    open_nodes = written(rooted.join(open_keys, "key").select("node", "n", "root").distinct(), "open")
+    fine = written(prefixes(sets.join(open_nodes.select("node"), "node"), percent).join(open_nodes, "node"), "prefixes")
+    rest = written(rest_pairs(fine, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = verifier.confirmed(rest)
-        roots = components(links.union(more))
+        roots = components(links.union(confirmed(rest, sets, percent)))
 
     named = roots.join(nodes.select("node", "id"), "node")
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
