@@ -167,6 +167,26 @@ def test_passages_in_other_company(spark, monkeypatch, big):
     assert left[41] == texts[41][:60] + texts[41][140:] and left[40] == texts[40] and left[3] == texts[3]
 
 
+@pytest.mark.parametrize("big", [2, 256])
+def test_documents_joined_by_one_passage_are_compared_for_another(spark, monkeypatch, big):
+    """1, 2 and 3 share P; 2 and 3 also share S, of which 1 has an edit that is not similar."""
+    monkeypatch.setattr(passages, "BIG_KEY", big)
+    rng = random.Random(17)
+    texts, want = {}, {}
+    for i in range(40):
+        p, s = words(rng, 60), words(rng, 50)
+        edit = list(s)
+        edit[18], edit[34] = "one", "two"
+        for k, tail in enumerate((edit, s, s)):
+            texts[3 * i + k] = words(rng, 30) + p + words(rng, 30) + tail + words(rng, 30)
+        want[3 * i + 1] = want[3 * i + 2] = set(range(120, 170))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    got = defaultdict(set)
+    for r in passages.spans(passages.repeats(passages.searched(docs))).collect():
+        got[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    assert all(places <= got[d] for d, places in want.items())
+
+
 def test_odd_rows_in_passages(spark, odd_docs, no_docs):
     assert passages.spans(passages.repeats(passages.searched(no_docs))).count() == 0
     long = " ".join(words(random.Random(3), 90))
