@@ -218,6 +218,43 @@ def test_window_starts_are_those_of_the_tree():
         assert set(zip(*(x.tolist() for x in passages.window_starts(values)), strict=True)) == tree
 
 
+def brute_starts(values, least):
+    """Each start's place of its least value, from the left."""
+    return [i + int(values[i : i + least].argmin()) for i in range(len(values) - least + 1)]
+
+
+def test_every_place_of_a_value_has_its_window():
+    rng = np.random.default_rng(4)
+    line = rng.integers(0, 10**9, 20)
+    texts = [
+        np.concatenate([line, rng.integers(0, 10**9, 60), line, rng.integers(0, 10**9, 60)]),
+        np.tile(rng.integers(0, 10**9, 8), 20), np.full(90, 7), rng.integers(0, 4, 300),
+        np.concatenate([rng.integers(0, 10**9, 50), np.zeros(30, int), rng.integers(0, 10**9, 50)]),
+    ]
+    for values in (t.astype(np.uint64) for t in texts):
+        first, last, at = passages.window_starts(values)
+        got = [max(int(a), i) for f, e, a in zip(first, last, at, strict=True) for i in range(f, e + 1)]
+        assert got == brute_starts(values, passages.LEAST)
+
+
+def test_a_line_that_stands_earlier_hides_no_repeat(spark):
+    """Fifty words twice, of which twenty stand in one of the documents once before."""
+    rng = random.Random(23)
+    texts = {}
+    for i in range(0, 120, 2):
+        line, passage = words(rng, 20), words(rng, 15)
+        passage = passage + line + words(rng, 15)
+        texts[i] = words(rng, 20) + line + words(rng, 80) + passage + words(rng, 20)
+        texts[i + 1] = words(rng, 40) + passage + words(rng, 40)
+    joined = {d: " ".join(w) for d, w in texts.items()}
+    docs = spark.createDataFrame(list(joined.items()), "doc_id long, text string")
+    got = defaultdict(set)
+    for r in passages.spans(passages.repeats(passages.searched(docs))).collect():
+        got[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    want = brute_runs(joined)
+    assert len(want) == 120 and all(places <= got[d] for d, places in want.items())
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
