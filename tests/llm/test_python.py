@@ -255,6 +255,20 @@ def test_a_line_that_stands_earlier_hides_no_repeat(spark):
     assert len(want) == 120 and all(places <= got[d] for d, places in want.items())
 
 
+def test_chance_of_a_key_at_the_threshold():
+    """Fifty words with one edited, so a similarity of 41/51: at least what any two of four gave."""
+    rng, found, n = np.random.default_rng(8), 0, 3000
+    for at in range(n):
+        a = rng.integers(0, 2**63, passages.LEAST).astype(np.uint64)
+        b = a.copy()
+        edit = 5 + at % 37
+        b[edit - 5 : edit] = rng.integers(0, 2**63, 5).astype(np.uint64)
+        x, y = (tuple(passages.mixed(t ^ seed) for seed in passages._SEEDS) for t in (a, b))
+        agree = [int(u.argmin()) for u, v in zip(x, y, strict=True) if u.min() == v.min()]
+        found += len(agree) > 2 or (len(agree) == 2 and abs(agree[0] - agree[1]) >= passages.APART)
+    assert found / n > 0.96
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
