@@ -269,6 +269,31 @@ def test_chance_of_a_key_at_the_threshold():
     assert found / n > 0.96
 
 
+def test_common_passages_beside_others():
+    """Whatever else a pair shares, and however often a passage repeats its own words."""
+    rng = np.random.default_rng(6)
+    new = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    x, parts = new(80), [new(46) for _ in range(4)]
+    a, b = [new(60), x, new(200)], [new(90), x, new(300)]
+    for part in parts:
+        a += [part, new(11)]
+        b += [part, new(11)]
+    a, b = np.concatenate(a), np.concatenate(b)
+    at_a, at_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    for a0, a1, b0, b1 in passages.common_passages(a, b):
+        at_a[a0:a1] = at_b[b0:b1] = True
+    assert at_a[np.isin(a, b)].all() and at_b[np.isin(b, a)].all()
+
+    loop = np.tile(new(10), 6)[:56]
+    assert (30, 86, 70, 126) in passages.common_passages(np.concatenate([new(30), loop, new(50)]), np.concatenate([new(70), loop, new(9)]))
+    one = np.full(20_000, 7, np.uint64)
+    assert passages.common_passages(one, one[:900])
+
+    p = new(48)  # 24 + 8 + 24 against 24 + 4 + 24: exactly 0.8
+    pair = [np.concatenate([new(70), p[:24], new(n), p[24:], new(70)]) for n in (8, 4)]
+    assert passages.common_passages(*pair) == [(70, 126, 70, 122)] and passages.common_passages(*pair[::-1]) == [(70, 122, 70, 126)]
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
