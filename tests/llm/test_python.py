@@ -294,6 +294,25 @@ def test_common_passages_beside_others():
     assert passages.common_passages(*pair) == [(70, 126, 70, 122)] and passages.common_passages(*pair[::-1]) == [(70, 122, 70, 126)]
 
 
+def test_rare_shingles_find_insertions(spark):
+    """A key of 300 documents, each its own class: halves with words put between them, in one or both."""
+    rng = random.Random(29)
+    texts = {}
+    for i in range(0, 300, 2):
+        half, long, short = [(34, 7, 0), (28, 4, 0), (28, 5, 1), (26, 2, 1), (60, 12, 3)][i // 2 % 5]
+        p = words(rng, half), words(rng, half)
+        own = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+        both = [own(30) + p[0] + own(n) + p[1] + own(30) for n in (long, short)]
+        texts[i], texts[i + 1] = both if i % 4 else both[::-1]
+    held = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc long, text string")
+    known = passages.Words()
+    made = {d: passages.shingled(known.hashes(" ".join(w)), passages.SHINGLE) for d, w in texts.items()}
+    want = {(i, i + 1) for i in range(0, 300, 2) if passages.common_passages(made[i], made[i + 1])}
+    assert len(want) >= 120
+    rooted = held.selectExpr("1L AS key", "doc", "doc AS root")
+    assert want <= {(r["a"], r["b"]) for r in passages.rare_pairs(rooted, held).collect()}
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
