@@ -22,7 +22,8 @@ PART = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "select", "title", "svg", "math", "object", "canvas"}
+RAW = {"script", "style", "iframe", "textarea", "title"}  # to their closing tag or the page's end
+PUT_ASIDE = {"noscript", "template", "select", "svg", "canvas"}  # dropped where they are closed
 TAG_GROUPS = (
     ("nav", "menu"),
     ("footer",),
@@ -95,6 +96,24 @@ def _bits(attributes: str) -> int:
     return bits
 
 
+def closings(page: str, name: str) -> dict[int, int]:
+    """Where each element of that name ends, by where its tag ends; unclosed ones are left out."""
+    either = re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b.*?(?:</\1\b[^>]*>|\Z)"
+        rf"|<(/?){re.escape(name)}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", re.S | re.I)
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for found in either.finditer(page):
+        if found.group(2) is None:
+            continue
+        if not found.group(2):
+            if not found.group().endswith("/>"):
+                opened.append(found.end())
+        elif opened:
+            ends[opened.pop()] = found.end()
+    return ends
+
+
 def parse(page: str) -> list[Node]:
     """The page's nodes in the order in which they start; the first is the root."""
     nodes = [Node("html", -1, 0, 0, 0)]
@@ -102,6 +121,7 @@ def parse(page: str) -> list[Node]:
     run: list[str] = []
     linked = 0
     at, end = 0, len(page)
+    ends: dict[str, dict[int, int]] = {}
 
     def current() -> int:
         return next(k for _, k in reversed(stack) if k >= 0)
@@ -169,6 +189,13 @@ def parse(page: str) -> list[Node]:
                 at = close.end() if close else end
             run.append(" ")
             continue
+        if name in PUT_ASIDE:
+            if name not in ends:
+                ends[name] = closings(page, name)
+            if at in ends[name] or found.group(3).rstrip().endswith("/"):
+                at = ends[name].get(at, at)
+                run.append(" ")
+                continue
         if name not in BLOCK:
             nodes[current()].tags += 1
             if name == "br" or name == "hr":

@@ -431,6 +431,23 @@ def test_other_layouts():
     assert features(nodes).shape == (len(nodes), features(parse("x")).shape[1])
 
 
+@pytest.mark.parametrize("tag", ["noscript", "template", "object", "svg", "select", "canvas", "math"])
+def test_an_unclosed_tag_hides_nothing_after_it(tag):
+    texts = lambda page: [n.text for n in parse(page) if n.text]
+    want = ["Title & more", "First para, still the first.", "Second <b> para."]
+    assert texts(f"<body><{tag} id='a'>{ARTICLE}</body>") == want
+    assert texts(ARTICLE.replace("</h1>", f"</h1><{tag}>")) == want
+    assert texts(f"<{tag}>{ARTICLE}<{tag}></{tag}>") == want  # a later one's closing tag is not its own
+    if tag not in ("object", "math"):
+        assert texts(f"<{tag}><{tag}>a</{tag}>b<!-- <{tag}> --></{tag}>{ARTICLE}") == want
+    assert texts(f"{ARTICLE}<script>var a = '<p>no'") == want
+
+
+def test_text_in_formulas_and_objects_is_read():
+    page = "<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then <object data='a'>see text</object> there.</p>"
+    assert [n.text for n in parse(page) if n.text] == ["If x=2 then see text there."]
+
+
 def test_nothing_is_kept_below_a_dropped_node():
     nodes = parse("<div><p>a</p></div><div><p>b</p></div>")
     places = [i for i, n in enumerate(nodes) if n.tag == "div"]
