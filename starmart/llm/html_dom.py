@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from math import log1p
 
@@ -237,8 +238,8 @@ def features(nodes: list[Node]) -> np.ndarray:
             chars[i], links[i], runs[i] = len(text), node.links, 1
             stops[i] = text.count(".") + text.count("!") + text.count("?")
             commas[i] = text.count(",")
-            digits[i] = sum(map(str.isdigit, text)) if len(text) < 200 else 0
-            capitals[i] = sum(map(str.isupper, text[:200]))
+            digits[i] = sum(map(str.isdigit, text))
+            capitals[i] = sum(map(str.isupper, text))
         finish[i] = total
     for i in range(n - 1, 0, -1):
         up = nodes[i].parent
@@ -250,12 +251,13 @@ def features(nodes: list[Node]) -> np.ndarray:
     rows = np.zeros((n, FEATURES))
     whole = max(total, 1)
     base = 26
+    tagged = [Counter(nodes[c].tag for c in node.children) for node in nodes]
     for i, node in enumerate(nodes):
         size = chars[i]
         per = 100 / (size + 20)
         up = nodes[node.parent] if i else node
         beside = up.children if i else [i]
-        same = sum(nodes[c].tag == node.tag for c in beside) if len(beside) < 60 else len(beside)
+        same = tagged[node.parent][node.tag] if i else 1
         kids = node.children
         place = node.place
         after = beside[place + 1] if place + 1 < len(beside) else -1

@@ -29,7 +29,7 @@ from starmart.llm.store import table, written
 from starmart.session import scratch_dir
 
 SAMPLE = 120  # pages that the trees learn from, the smallest by a hash of their page_id
-SAMPLE_CHARS = 20_000  # longer pages are not taken into the sample
+SAMPLE_CHARS = 2_400_000  # of all pages of the sample together
 LAYOUTS = 6
 ROUNDS, DEPTH = 24, 5
 TOGETHER = 64  # pages whose nodes are scored at once
@@ -221,11 +221,17 @@ def forest_of(spark: SparkSession, model) -> Forest:
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Forest | None:
-    """Trees from a bounded sample of the pages; None where none of them names its article."""
+    """Trees from a sample of the pages, bounded in pages and characters; None where none of them
+    names its article or each is longer than the whole sample may be."""
     spark = pages.sparkSession
-    short = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select(
-        "html", F.xxhash64(F.col("page_id"), F.col("html")).alias("order"))
-    pages = short.orderBy("order").limit(sample).select("html").repartition(3)
+    ordered = pages.select("html", F.xxhash64(F.col("page_id"), F.col("html")).alias("order"))
+    ordered = ordered.where("length(html) > 0")
+    room, taken = SAMPLE_CHARS, []
+    for order, chars in ordered.select("order", F.length("html")).orderBy("order").limit(sample).collect():
+        if chars <= room:
+            room -= chars
+            taken.append(order)
+    pages = ordered.where(F.col("order").isin(taken)).orderBy("order").limit(len(taken)).select("html").repartition(3)
     data = written(pages.mapInArrow(_examples, "x array<double>, label double"), "examples")
     if data.select("label").distinct().count() < 2:
         return None

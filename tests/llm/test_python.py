@@ -448,6 +448,21 @@ def test_text_in_formulas_and_objects_is_read():
     assert [n.text for n in parse(page) if n.text] == ["If x=2 then see text there."]
 
 
+def test_features_count_whole_texts_and_all_siblings():
+    row = lambda page, tag: dict(zip(range(26), features(n := parse(page))[[x.tag for x in n].index(tag)][:26], strict=True))
+    long = row("<p>" + "a" * 300 + "7" * 50 + "B" * 50 + "</p>", "p")
+    assert long[13] == pytest.approx(50 * 100 / 420) and long[14] == pytest.approx(50 * 100 / 420)
+    assert row("<p>x</p>" + "<div>y</div>" * 99, "p")[16] == pytest.approx(0.01)
+
+
+def test_long_pages_are_learnt_from(spark):
+    rng = random.Random(31)
+    para = lambda: "<p>" + " ".join(words(rng, 120)) + ".</p>"
+    rows = [(i, "u", "<nav><a href=1>Home</a></nav><article>" + "".join(para() for _ in range(40)) + "</article>") for i in range(6)]
+    assert min(len(r[2]) for r in rows) > 20_000
+    assert html_extract.learn(spark.createDataFrame(rows, "page_id long, url string, html string")) is not None
+
+
 def test_nothing_is_kept_below_a_dropped_node():
     nodes = parse("<div><p>a</p></div><div><p>b</p></div>")
     places = [i for i, n in enumerate(nodes) if n.tag == "div"]
