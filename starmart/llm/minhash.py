@@ -169,8 +169,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(f"100 * common >= {percent} * (total - common)").select("a", "b")
 
 
-def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row; see op2_minhash_dedup.
+def decided(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row, its node and its component's root.
 
     Null and empty texts have no shingles and are linked with nothing, nor is a row whose doc_id
     is null (its component_id is null, and it is kept). Copies are one node, so repeated rows
@@ -199,26 +199,53 @@ def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     named = roots.join(nodes.select("node", "id"), "node")
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     classes = nodes.select("node", "id").join(
-        named.select("node", "root").join(least, "root").select("node", "component_id"), "node", "left")
-    of_node = classes.selectExpr("node", "coalesce(component_id, id) AS component_id")
+        named.select("node", "root").join(least, "root").select("node", "root", "component_id"), "node", "left")
+    of_node = classes.selectExpr("node", "coalesce(component_id, id) AS component_id", "coalesce(root, node) AS root")
     known = sketch.selectExpr("doc_id", "n AS n_shingles", "if(doc_id IS NULL, NULL, node) AS node")
     return known.join(of_node, "node", "left").selectExpr(
         "doc_id", "n_shingles",
         "coalesce(component_id, doc_id) AS component_id",
-        "doc_id <=> coalesce(component_id, doc_id) AS kept")
+        "doc_id <=> coalesce(component_id, doc_id) AS kept", "node", "root")
+
+
+def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row; see op2_minhash_dedup."""
+    return decided(docs, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _noded(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            found = [np.unique(shingled(words.hashes(t or ""), size)) for t in batch.column("text").to_pylist()]
+            nodes = pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "node"])
+
+    return run
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, at five words and a similarity of 0.8."""
+    """One document of each group, at five words and a similarity of 0.8.
+
+    Of several texts under one doc_id each is judged by itself: those that are not near an earlier
+    document stay, one row of each component, with the smallest text.
+    """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    found = written(groups(docs, 5, 80), "groups")
-    left = docs.select(*columns).join(
-        found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*columns)
-    if found.where("kept").groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").isEmpty():
-        return left
-    named = left.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min(F.struct("text", "lang", "source", "n_chars")).alias("d"))
-    return named.select("doc_id", "d.*").union(left.where("doc_id IS NULL"))
+    found = written(decided(docs, 5, 80), "groups")
+    docs = docs.select(*columns)
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    gone = found.where("NOT kept").select("doc_id").distinct()
+    if repeated.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*columns)
+    repeated = written(repeated, "repeated")
+    single = docs.join(gone.union(repeated), "doc_id", "left_anti").select(*columns)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    several = docs.join(repeated, "doc_id", "left_semi").select(*columns).mapInArrow(_noded(5), f"{types}, node binary")
+    stay = found.where("kept").join(repeated, "doc_id", "left_semi").selectExpr(
+        "doc_id AS id", "node AS own", "root").distinct()
+    met = several.join(stay, F.expr("doc_id = id AND node <=> own"))
+    named = met.groupBy("doc_id", "root").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("d"))
+    return single.union(named.select("doc_id", "d.*"))
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,17 @@ def test_odd_rows_in_groups(spark, odd_docs, no_docs):
     assert ids == sorted(str(i) for i in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 11, None, None] if i != 5)
 
 
+def test_texts_under_one_id_are_judged_each(spark):
+    rng = random.Random(37)
+    a, b, c, d = (" ".join(words(rng, 60)) for _ in range(4))
+    rows = [(1, a), (2, a + " more"), (2, b), (2, c), (2, c + " z"), (3, d), (3, None), (3, d), (4, b + " y"), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = minhash.near_dedup_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(1, a), (2, b), (2, c), (3, d), (3, None), (None, a)], key=str)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
