@@ -13,6 +13,7 @@ from starmart.llm import (
     secret_scans,
     sentence_pieces,
     url_filters,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_substring_dedup": passages.op8_substring_dedup,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_html_extraction": html_extract.op10_html_extraction,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
