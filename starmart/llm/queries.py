@@ -10,6 +10,7 @@ from starmart.llm import (
     passages,
     quality_classifier,
     quality_rules,
+    ranked_search,
     secret_scans,
     sentence_pieces,
     url_filters,
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_substring_dedup": passages.op8_substring_dedup,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_html_extraction": html_extract.op10_html_extraction,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op12_ranked_search": ranked_search.ORACLE,
     "op13_vector_codes": vector_codes.ORACLE,
 }
