@@ -5,6 +5,7 @@ from __future__ import annotations
 from starmart.llm import (
     fingerprints,
     html_extract,
+    lm_scoring,
     minhash,
     packing,
     passages,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_substring_dedup": passages.op8_substring_dedup,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_html_extraction": html_extract.op10_html_extraction,
+    "op11_lm_scoring": lm_scoring.op11_lm_scoring,
     "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,10 @@ from starmart.session import scratch_dir
 SPACE = r"\x20\x09-\x0D"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, safe from lost executors."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
