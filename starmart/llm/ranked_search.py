@@ -34,7 +34,7 @@ BLOCK_BYTES = 4_000_000
 SEGMENT_DOCS = 8_192
 SEGMENT_BYTES = 32_000_000
 # Intervals taken from the queue together, and the length from which one is scored in full.
-BATCH = 64
+BATCH = 256
 LEAF = 32
 SALTS = 64
 
@@ -177,15 +177,18 @@ class Postings:
 
     def __init__(self, slots: np.ndarray, impacts: np.ndarray) -> None:
         self.slots, self.impacts = slots, impacts
-        # Level k has at i the place of the largest of the 2**k impacts from i on.
+        # Level k has at i the place of the largest of the 2**k impacts from i on; the levels stand
+        # one after the other.
         level = np.arange(len(slots), dtype=np.int32)
-        self.levels = [level]
+        levels = [level]
         step = 1
         while 2 * step <= len(slots):
             left, right = level[:-step], level[step:]
             level = np.where(impacts[right] > impacts[left], right, left)
-            self.levels.append(level)
+            levels.append(level)
             step *= 2
+        self.levels = np.concatenate(levels)
+        self.starts = np.cumsum([0, *[len(x) for x in levels[:-1]]])
 
     def largest(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(impact, document) of the largest impact between document slots ``first`` and ``last``
@@ -197,10 +200,8 @@ class Postings:
         if len(some):
             a, b = a[some], b[some]
             level = np.frexp(b - a)[1] - 1
-            x, y = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
-            for k in np.unique(level):
-                own = level == k
-                x[own], y[own] = self.levels[k][a[own]], self.levels[k][b[own] - (1 << k)]
+            start = self.starts[level]
+            x, y = self.levels[start + a], self.levels[start + b - (1 << level)]
             best = np.where(self.impacts[y] > self.impacts[x], y, x)
             impact[some], doc[some] = self.impacts[best], self.slots[best]
         return impact, doc
