@@ -31,7 +31,7 @@ FOLDS, HELD = 5, 1
 SINGLE, ENDINGS = 1_536, 254
 # Words whose counts go to every task; the others' counts are joined.
 DICTIONARY = 100_000
-DICTIONARY_BYTES = 4_000_000
+LONGEST = 64  # bytes of a word in it
 WIDTH = 16
 ROUNDS = 6
 NOISE = 96
@@ -119,17 +119,37 @@ class Vocabulary:
         return out
 
 
-def vocabulary(counts: DataFrame, ends: int, single: int = SINGLE, endings: int = ENDINGS) -> Vocabulary:
-    """From the written counts; the driver gets the most frequent words and one row a class."""
-    first = counts.orderBy(F.col("c").desc(), "word").limit(DICTIONARY).collect()
-    held: dict[bytes, int] = {}
-    size = 0
-    for r in first:
-        size += len(r["word"])
-        if size > DICTIONARY_BYTES:
+def _level() -> Column:
+    return F.floor(F.log2("c") * 64).cast("int")
+
+
+def _frequent(counts: DataFrame, bound: int) -> tuple[list[tuple[bytes, int]], int]:
+    """About the ``bound`` most frequent words, by falling count, and how many of them are whole
+    levels of counts. Of the level that does not fit, a share by hash fills the rest.
+
+    Counts are levelled by their logarithm, so the driver gets at most a few thousand levels and
+    then the words themselves.
+    """
+    short = counts.where(F.octet_length("word") <= LONGEST)
+    levels = short.groupBy(_level().alias("level")).agg(F.count("*").alias("words")).collect()
+    fit, cut, share = 0, -1, 0
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        if fit + r["words"] > bound:
+            cut, share = r["level"], int(1_000_000 * 0.98 * (bound - fit) / r["words"])
             break
-        held[bytes(r["word"])] = r["c"]
-    own = list(held)[:single]
+        fit += r["words"]
+    part = (_level() == cut) & (F.pmod(F.xxhash64("word"), F.lit(1_000_000)) < share)
+    rows = [(bytes(r["word"]), r["c"]) for r in short.where((_level() > cut) | part).select("word", "c").collect()]
+    return sorted(rows, key=lambda r: (-r[1], r[0])), fit
+
+
+def vocabulary(
+    counts: DataFrame, ends: int, single: int = SINGLE, endings: int = ENDINGS, dictionary: int = DICTIONARY
+) -> Vocabulary:
+    """From the written counts; the driver gets the most frequent words and one row a class."""
+    frequent, whole = _frequent(counts, dictionary)
+    held = dict(frequent)
+    own = [w for w, _ in frequent[: min(single, whole)]]
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     is_single = F.lit(False)
     if own:
@@ -137,6 +157,7 @@ def vocabulary(counts: DataFrame, ends: int, single: int = SINGLE, endings: int
         least = held[own[-1]]
         tied = [bytearray(w) for w in own if held[w] == least]
         is_single = (F.col("c") > least) | ((F.col("c") == least) & F.col("word").isin(tied))
+        is_single &= F.octet_length("word") <= LONGEST
     last_two = "substring(word, greatest(octet_length(word) - 1, 1), 2)"
     by_end = (
         counts.where(~is_single)
