@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from starmart.contracts import STAR
 from starmart.operators import dims, facts, quality
 from starmart.sources import (
+    Snapshots,
     land,
     load_table,
     path_exists,
     read_lookup,
     read_source,
-    replace_folder,
     save,
     upsert_partitions,
 )
@@ -82,15 +82,15 @@ def build_visits(
 
 
 def add_dates(fact: DataFrame, path: str) -> None:
-    """Adds the dates of some visits to the stored date dimension.
+    """Adds the dates of some visits that the stored date dimension lacks.
 
-    The new table is written beside the old one and then takes its place. A date that a
-    refreshed month no longer holds stays: the dimension lists the days, not their use.
+    The stored files stay as they are, so the dimension never goes missing; a run that failed is
+    run again. A date that a refreshed month no longer holds stays: the dimension lists the days,
+    not their use.
     """
-    spark = fact.sparkSession
-    fresh = f"{path.rstrip('/')}.next"
-    save(spark.read.parquet(path).unionByName(dims.date_dim(fact)).distinct(), fresh)
-    replace_folder(spark, fresh, path)
+    stored = fact.sparkSession.read.parquet(path).select("date")
+    fresh = dims.date_dim(fact).join(stored, "date", "left_anti")
+    save(fresh.coalesce(1), path, mode="append")
 
 
 def land_temperature(
@@ -265,3 +265,34 @@ def load_star(
             rebalance=False,
         )
     return names
+
+
+def star_snapshots(spark: SparkSession, root: str) -> Snapshots:
+    """The published versions of the four tables under ``root``."""
+    fact = next(name for name, contract in STAR.items() if contract.foreign_keys)
+    return Snapshots(spark, root, STAR, {fact: MONTH})
+
+
+def publish_star(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    months: Sequence[tuple[int, int]] | None = None,
+    full_checks: bool = False,
+    rebalance: bool = False,
+) -> int:
+    """Publish the four tables as one version, which readers see all at once or not at all.
+
+    The checks run on what was written, before the switch. With ``months`` only those of the fact
+    are written, and the others are those of the version before. ``rebalance`` is for a fact that
+    is not staged by month. Returns the version; ``star_snapshots`` reads, rolls back, cleans up.
+    """
+    snapshots = star_snapshots(spark, root)
+    fact = next(iter(snapshots.partition_by))
+
+    def check(seen: Mapping[str, DataFrame]) -> None:
+        report = quality.check_star(seen, STAR) if full_checks else quality.non_empty(seen)
+        quality.assert_passed(report)
+
+    partitions = None if months is None else {fact: months}
+    return snapshots.publish(tables, partitions, check, rebalance)

@@ -691,4 +691,122 @@ ORACLES: dict[str, str] = {
         "fact",
         "state",
     ),
+    "rejects_by_delivery": _sql(
+        """SELECT cicid, i94yr, i94mon, delivery FROM (
+          SELECT cicid, i94yr, i94mon, 'first' AS delivery FROM fact WHERE i94yr = 1995 AND i94mon = 1
+          UNION ALL SELECT cicid, i94yr, i94mon, 'second' FROM fact WHERE i94yr = 1995 AND i94mon <= 2)""",
+        "fact",
+    ),
+    "csv_rejects": _sql(
+        """SELECT 'readings' AS source, count(*) AS source_rows,
+          count(*) FILTER (WHERE CAST("Latitude" AS INTEGER) % 30 NOT IN (1, 2, 3)) AS landed_rows,
+          count(*) FILTER (WHERE CAST("Latitude" AS INTEGER) % 30 IN (1, 2, 3)) AS rejected_rows,
+          true AS passed
+        FROM temperature_raw
+        UNION ALL SELECT 'cities', count(*),
+          count(*) FILTER (WHERE right("City", 1) NOT IN ('1', '2', '3')),
+          count(*) FILTER (WHERE right("City", 1) IN ('1', '2', '3')), true
+        FROM demographics_raw""",
+        "temperature_raw",
+        "demographics_raw",
+    ),
+    "csv_rejects_lines": _sql(
+        """SELECT CASE k WHEN 1 THEN 'fields' WHEN 2 THEN 'fields' ELSE 'quote' END AS reason,
+          CASE k WHEN 1 THEN short WHEN 2 THEN concat(short, ',', "Longitude", ',more')
+            ELSE concat('"', short, ',', "Longitude") END AS line
+        FROM (SELECT CAST("Latitude" AS INTEGER) % 30 AS k, "Longitude", concat(dt, ',',
+                coalesce("AverageTemperature", ''), ',', "City", ',', "Country", ',', "Latitude") AS short
+              FROM temperature_raw) WHERE k IN (1, 2, 3)""",
+        "temperature_raw",
+    ),
+    "csv_rejects_landed": _sql(
+        """SELECT * FROM temperature_raw WHERE CAST("Latitude" AS INTEGER) % 30 NOT IN (1, 2, 3)""",
+        "temperature_raw",
+    ),
+    "publish_star": _sql(
+        "SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate, CAST(depdate AS VARCHAR) AS depdate, "
+        "CASE WHEN i94yr = 1995 THEN 'revised' ELSE fltno END AS fltno) FROM fact",
+        "fact",
+    ),
+    "published_versions": _sql(
+        """, counted AS (
+          SELECT 'immigration' AS "table", count(*) AS rows, count(*) FILTER (WHERE i94yr = 1995) AS changed FROM fact
+          UNION ALL SELECT 'date', count(*), 0 FROM dates
+          UNION ALL SELECT 'country', count(*), 0 FROM country
+          UNION ALL SELECT 'state', count(*), 0 FROM state)
+        SELECT CAST(v AS INTEGER) AS version, "table", rows, CASE WHEN v = 2 THEN changed ELSE 0 END AS revised
+        FROM counted, (SELECT unnest([1, 2, 3]) AS v)""",
+        "fact",
+        "dates",
+        "country",
+        "state",
+    ),
+    "corr_dest_climate_ratio": _sql(
+        """, known AS (SELECT "Code", "Temperature" FROM country WHERE "Temperature" IS NOT NULL),
+        runs AS (SELECT unnest(range(1, 200)) AS run),
+        takers AS (SELECT run, "Code", row_number() OVER (PARTITION BY run
+            ORDER BY md5(concat('1:', run, ':to:', "Code")), "Code") AS place FROM known, runs),
+        givers AS (SELECT run, "Temperature" AS t, row_number() OVER (PARTITION BY run
+            ORDER BY md5(concat('1:', run, ':from:', "Code")), "Code") AS place FROM known, runs),
+        dealt AS (SELECT a.run, a."Code", b.t FROM takers a JOIN givers b ON b.run = a.run AND b.place = a.place
+          UNION ALL SELECT 0, "Code", "Temperature" FROM known),
+        by_place AS (SELECT d.run, c.i94addr, sum(c.visits) AS n, sum(c.visits * d.t) AS s,
+            sum(c.visits * d.t * d.t) AS q FROM cells c JOIN dealt d ON d."Code" = c.i94res GROUP BY d.run, c.i94addr),
+        by_run AS (SELECT run, sum(n) AS visits, count(*) AS destinations,
+            (sum(s * s / n) - sum(s) * sum(s) / sum(n)) / (sum(q) - sum(s) * sum(s) / sum(n)) AS eta
+          FROM by_place GROUP BY run)
+        SELECT CAST(b.visits AS BIGINT) AS visits, b.destinations, round(b.eta, 4) AS eta_squared,
+          round((SELECT count(*) FROM by_run r WHERE r.eta >= b.eta - 1e-9) / 200, 4) AS p_value
+        FROM by_run b WHERE b.run = 0""",
+        "cells",
+        "country",
+    ),
+    "visitors_present": _sql(
+        """SELECT date, CAST(sum(arrived) AS BIGINT) AS arrived, CAST(sum("left") AS BIGINT) AS "left",
+          CAST(sum(sum(arrived) - sum("left")) OVER (ORDER BY date) AS BIGINT) AS present
+        FROM (SELECT arrdate AS date, 1 AS arrived, 0 AS "left" FROM fact
+              WHERE arrdate IS NOT NULL AND coalesce(depdate >= arrdate, true)
+              UNION ALL SELECT depdate + 1, 0, 1 FROM fact WHERE depdate >= arrdate)
+        GROUP BY date""",
+        "fact",
+    ),
+    "rank_correlation": _sql(
+        _union([
+            f"""SELECT '{x}' AS x, '{y}' AS y, count(*) AS rows, round(corr(a, b), 4) AS rho
+            FROM (SELECT rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2 AS a,
+                    rank() OVER (ORDER BY {y}) + (count(*) OVER (PARTITION BY {y}) - 1) / 2 AS b
+                  FROM fact WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"""
+            for x, y in (("i94bir", "stay"), ("cicid", "arrdate"))
+        ]),
+        "fact",
+    ),
+    "refresh_reports": _sql(
+        """, now AS (
+          SELECT i94cit, i94res, i94addr, i94bir, CASE WHEN i94yr = 1995 THEN 'revised' ELSE airline END AS airline,
+            CASE WHEN i94yr = 1995 THEN stay + 2 ELSE stay END AS stay
+          FROM fact WHERE NOT ((i94yr = 1995 AND i94mon = 3) OR (i94yr = 1996 AND i94mon = 1)) OR cicid % 3 <> 0),
+        pairs AS (SELECT i94addr, i94res, count(*) AS n FROM now
+          WHERE i94addr IS NOT NULL AND i94res IS NOT NULL GROUP BY i94addr, i94res),
+        shares AS (SELECT n, CAST(n AS DOUBLE) * n / (CAST(sum(n) OVER (PARTITION BY i94addr) AS DOUBLE)
+            * CAST(sum(n) OVER (PARTITION BY i94res) AS DOUBLE)) AS share FROM pairs),
+        places AS (SELECT count(DISTINCT i94addr) AS r, count(DISTINCT i94res) AS c FROM pairs),
+        origins AS (SELECT i94res, count(*) AS n FROM now GROUP BY i94res)
+        SELECT 'nationality' AS report, k."Country" AS key, v.n AS visits, CAST(NULL AS DOUBLE) AS value
+        FROM (SELECT i94cit, count(*) AS n FROM now GROUP BY i94cit) v LEFT JOIN country k ON k."Code" = v.i94cit
+        UNION ALL SELECT 'origin', CAST(i94res AS VARCHAR), n, NULL FROM origins
+        UNION ALL SELECT 'airline', airline, count(*), NULL FROM now GROUP BY airline
+        UNION ALL SELECT 'stay', i94addr, count(*), round(avg(stay), 4) FROM now WHERE stay IS NOT NULL GROUP BY i94addr
+        UNION ALL SELECT 'age', s."State", v.n, v.a FROM (
+          SELECT i94addr, count(*) AS n, round(avg(i94bir), 4) AS a FROM now GROUP BY i94addr) v
+          LEFT JOIN state s ON s."Code" = v.i94addr
+        UNION ALL SELECT 'route', NULL, CAST(sum(n) AS BIGINT),
+          round(sqrt(greatest(sum(share) - 1, 0) / (least(min(r), min(c)) - 1)), 4) FROM shares, places
+        UNION ALL SELECT 'temperature', NULL, count(*), round(corr(CAST(o.n AS DOUBLE), k."Temperature"), 4)
+          FROM origins o JOIN country k ON k."Code" = o.i94res WHERE k."Temperature" IS NOT NULL
+        UNION ALL SELECT 'stay_age', NULL, count(*), round(corr(stay, i94bir), 4) FROM now
+          WHERE stay IS NOT NULL AND i94bir IS NOT NULL""",
+        "fact",
+        "country",
+        "state",
+    ),
 }

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart import functions as fn
 from starmart.operators import aggregates, dims, facts, joins, quality, shape
-from starmart.plans import analytics, star
+from starmart.plans import analytics, reports, star
 from starmart.plans.star import MONTH, in_months
 from starmart.samples import views
 from starmart.session import scratch_dir
 from starmart.sources import (
     land,
+    land_checked,
     load_table,
     read_lookup,
     read_source,
@@ -144,7 +146,21 @@ def monthly_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def monthly_upsert_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return read_source(spark, _delivered(spark, sf)[1], "parquet")
+    return read_source(spark, _delivered(spark, sf)[1], "parquet").drop("delivery")
+
+
+@query
+def rejects_by_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries, the second made twice: each keeps its own rejected rows, once."""
+    path, rejects = scratch_dir(spark, "visits"), scratch_dir(spark, "rejects")
+    fact = _fact(spark, sf, "cicid", *MONTH)
+    save(fact, path, partition_by=MONTH)
+    for name, month in (("first", 1), ("second", 2), ("second", 2)):
+        strays = fact.where((F.col("i94yr") == 1995) & (F.col("i94mon") <= month))
+        upsert_partitions(strays, path, [(1995, 1)], rejects=rejects, delivery=name)
+        upsert_partitions(strays, path, [(1995, 2)], rejects=f"{rejects}-other", delivery=name)
+    kept = [read_source(spark, p, "parquet") for p in (rejects, f"{rejects}-other")]
+    return kept[0].unionByName(kept[1])
 
 
 @query
@@ -185,6 +201,90 @@ def city_write(spark: SparkSession, sf: str) -> DataFrame:
     return stored.withColumn("State Code", F.col("`State Code`").cast("string"))
 
 
+def _lines(df: DataFrame, sep: str, key: Column) -> DataFrame:
+    """CSV lines under a header, some of which lack a field, have one too many, or open a quote
+    that they never close: ``key`` is 1, 2 or 3 for those."""
+    line = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
+    short = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns[:-1]])
+    bad = F.when(key == 1, short).when(key == 2, F.concat(line, F.lit(f"{sep}more")))
+    rows = df.select(bad.when(key == 3, F.concat(F.lit('"'), line)).otherwise(line).alias("line"))
+    header = df.sparkSession.range(1).select(F.lit(sep.join(df.columns)).alias("line"))
+    return header.unionByName(rows)
+
+
+def _landed_checked(spark: SparkSession, df: DataFrame, sep: str, key: Column) -> tuple[DataFrame, str, str]:
+    source, target, rejects = (scratch_dir(spark, x) for x in ("csv", "landed", "rejects"))
+    _lines(df, sep, key).write.text(source)
+    report = land_checked(spark, source, target, rejects, sep=sep, columns=df.columns)
+    return report, target, rejects
+
+
+def _checked_readings(spark: SparkSession, sf: str) -> tuple[DataFrame, str, str]:
+    key = F.col("Latitude").cast("int") % 30
+    return _landed_checked(spark, views.temperature_raw(spark, sf), ",", key)
+
+
+@query
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Source lines against landed and rejected ones, for both delimiters."""
+    last = F.right(F.col("City"), F.lit(1)).cast("int")
+    cities = _landed_checked(spark, views.demographics_raw(spark, sf), ";", last)[0]
+    readings = _checked_readings(spark, sf)[0]
+    named = [df.withColumn("source", F.lit(n)) for n, df in (("readings", readings), ("cities", cities))]
+    return named[0].unionByName(named[1])
+
+
+@query
+def csv_rejects_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return read_source(spark, _checked_readings(spark, sf)[2], "parquet")
+
+
+@query
+def csv_rejects_landed(spark: SparkSession, sf: str) -> DataFrame:
+    return read_source(spark, _checked_readings(spark, sf)[1], "parquet")
+
+
+def _published(spark: SparkSession, sf: str):
+    """A first version, the months of 1995 revised, a publication stopped by its check, a roll-back."""
+    root = scratch_dir(spark, "published")
+    tables = {
+        "immigration": _fact(spark, sf),
+        "date": date_dim(spark, sf),
+        "country": _country(spark, sf),
+        "state": _state(spark, sf),
+    }
+    star.publish_star(spark, tables, root, rebalance=True)
+    snapshots = star.star_snapshots(spark, root)
+    old = snapshots.read()["immigration"]
+    revised = old.where(F.col("i94yr") == 1995).withColumn("fltno", F.lit("revised"))
+    star.publish_star(spark, {"immigration": revised}, root, YEAR)
+    try:
+        star.publish_star(spark, {"state": _state(spark, sf).limit(0)}, root)
+    except ValueError:
+        pass  # an empty table is never switched to
+    snapshots.roll_back(1)
+    return snapshots
+
+
+@query
+def publish_star(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact that readers see of the second version."""
+    return _published(spark, sf).read(2)["immigration"]
+
+
+@query
+def published_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """(version, table, rows, revised) of every version."""
+    snapshots = _published(spark, sf)
+    parts = []
+    for version in snapshots.versions():
+        for name, df in snapshots.read(version).items():
+            changed = F.col("fltno") == "revised" if name == "immigration" else F.lit(False)
+            counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(changed).alias("revised"))
+            parts.append(counts.select(F.lit(version).alias("version"), F.lit(name).alias("table"), "rows", "revised"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def optional_outputs(spark: SparkSession, sf: str) -> DataFrame:
     """The job without paths to write to: the fact alone."""
@@ -658,6 +758,73 @@ def corr_dest_climate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def corr_dest_climate_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    fact = _fact(spark, sf, "i94addr", "i94res")
+    return _rounded(
+        analytics.corr_dest_climate_ratio(fact, _country(spark, sf)), "eta_squared", "p_value"
+    )
+
+
+@query
+def visitors_present(spark: SparkSession, sf: str) -> DataFrame:
+    return analytics.visitors_present(_fact(spark, sf, "arrdate", "depdate"))
+
+
+RANKED = (("i94bir", "stay"), ("cicid", "arrdate"))
+
+
+@query
+def rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    fact = _fact(spark, sf, "cicid", "i94bir", "arrdate", "depdate")
+    parts = [
+        analytics.rank_correlation(fact, x, y).withColumns({"x": F.lit(x), "y": F.lit(y)})
+        for x, y in RANKED
+    ]
+    return _rounded(reduce(DataFrame.unionByName, parts), "rho")
+
+
+def _refreshed_states(spark: SparkSession, sf: str) -> DataFrame:
+    """States of a fact of which the months of 1995, then two more, were delivered anew."""
+    path, states = scratch_dir(spark, "visits"), scratch_dir(spark, "states")
+    save(_fact(spark, sf), path, partition_by=MONTH)
+    reports.refresh_reports(read_source(spark, path, "parquet"), states)
+    for months, change in (
+        (YEAR, lambda df: df.withColumns({"airline": F.lit("revised"), "stay": F.col("stay") + 2})),
+        ([(1995, 3), (1996, 1)], lambda df: df.where(F.col("cicid") % 3 != 0)),
+    ):
+        stored = read_source(spark, path, "parquet")
+        delivery = scratch_dir(spark, "delivery")
+        save(change(stored.where(in_months(months))), delivery)
+        upsert_partitions(read_source(spark, delivery, "parquet"), path, months)
+        reports.refresh_reports(read_source(spark, path, "parquet"), states, months)
+    return reports.read_states(spark, states)
+
+
+@query
+def refresh_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """(report, key, visits, value) from states of which two refreshes replaced some months."""
+    states = _refreshed_states(spark, sf)
+    state, country = _state_names(spark, sf), _country(spark, sf)
+    none = F.lit(None).cast("double")
+
+    def part(report: str, df: DataFrame, key: Column, visits: str, value: Column) -> DataFrame:
+        return df.select(F.lit(report).alias("report"), key.cast("string").alias("key"), F.col(visits).alias("visits"), F.round(value, 4).alias("value"))
+
+    nobody = F.lit(None)
+    parts = [
+        part("nationality", reports.visits_by_nationality(states, country), F.col("Country"), "visits", none),
+        part("origin", reports.visits_by_origin(states, country), F.col("i94res"), "visits", none),
+        part("airline", reports.visits_by_airline(states), F.col("airline"), "visits", none),
+        part("stay", reports.avg_stay_by_state(states, state), F.col("i94addr"), "visits", F.col("avg_stay")),
+        part("age", reports.visitor_profile_by_state(states, state), F.col("State"), "visits", F.col("avg_age")),
+        part("route", reports.corr_dest_source(states), nobody, "visits", F.col("cramers_v")),
+        part("temperature", reports.corr_source_temperature(states, country), nobody, "countries", F.col("corr")),
+        part("stay_age", reports.corr_stay_age(states), nobody, "pairs", F.col("corr")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def corr_source_temperature(spark: SparkSession, sf: str) -> DataFrame:
     fact = _fact(spark, sf, "i94res")

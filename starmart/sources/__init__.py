@@ -1,20 +1,23 @@
+from starmart.sources.checked import land_checked, read_checked
 from starmart.sources.files import (
     land,
     path_exists,
     read_lookup,
     read_source,
-    replace_folder,
     save,
 )
+from starmart.sources.snapshots import Snapshots
 from starmart.sources.tables import load_table, upsert_partitions
 
 __all__ = [
+    "Snapshots",
     "land",
+    "land_checked",
     "load_table",
     "path_exists",
+    "read_checked",
     "read_lookup",
     "read_source",
-    "replace_folder",
     "save",
     "upsert_partitions",
 ]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import int_from_text
@@ -58,12 +60,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Puts a finished folder in the place of another."""
-    place, files = _files(spark, path)
-    files.delete(place, True)
-    if not files.rename(_files(spark, fresh)[0], place):
-        raise OSError(f"{fresh} could not be moved to {path}")
+class Tally:
+    """Counts over a DataFrame's rows, taken while something else reads them.
+
+    ``rows`` is to be written in place of ``df``; ``result`` is there after that. Where execution
+    finds the rows that are written to be none, it drops the counting with the rest of the plan,
+    and they are counted on their own.
+    """
+
+    def __init__(self, df: DataFrame, counts: Mapping[str, Column]) -> None:
+        self._df, self._seen = df, Observation()
+        self._counts = [c.alias(name) for name, c in counts.items()]
+        self.rows = df.observe(self._seen, *self._counts) if self._counts else df
+
+    @cached_property
+    def result(self) -> dict[str, int]:
+        if not self._counts:
+            return {}
+        try:
+            return dict(self._seen.get)
+        except Py4JError:
+            return self._df.agg(*self._counts).first().asDict()
 
 
 def save(

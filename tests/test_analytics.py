@@ -131,3 +131,74 @@ def test_state_measures_and_profile(frames, data):
     assert got["CA"].avg_age == pytest.approx(ca.i94bir.mean())
     assert got["CA"].male_share == pytest.approx((ca.gender == "M").mean())
     assert got["CA"].unstated_share == pytest.approx(ca.gender.isna().mean())
+
+
+def test_climate_ratio_with_a_known_answer(spark):
+    """Each destination gets one country: all variance lies between. One destination: none does."""
+    names = "i94addr string, i94res int"
+    country = spark.createDataFrame([(i, 2.0 * i) for i in range(8)] + [(8, None)], "Code int, Temperature double")
+    apart = spark.createDataFrame([(f"S{i}", i) for i in range(9) for _ in range(i + 1)] + [(None, 1), ("S1", None)], names)
+    row = analytics.corr_dest_climate_ratio(apart, country, permutations=19).first()
+    assert (row["visits"], row["destinations"], round(row["eta_squared"], 9), row["p_value"]) == (36, 8, 1.0, 1.0)
+    one = spark.createDataFrame([("S", i) for i in range(8)], names)
+    row = analytics.corr_dest_climate_ratio(one, country, permutations=19).first()
+    assert round(row["eta_squared"], 9) == 0.0 and row["p_value"] == 1.0
+    halves = spark.createDataFrame([("warm" if i > 3 else "cold", i) for i in range(8) for _ in range(5)], names)
+    row = analytics.corr_dest_climate_ratio(halves, country, permutations=199).first()
+    assert round(row["eta_squared"], 9) == round(16 / 21, 9) and row["p_value"] < 0.1
+    again = analytics.corr_dest_climate_ratio(halves.repartition(5), country, permutations=199).first()
+    assert again["p_value"] == row["p_value"]
+
+
+def test_climate_ratio_reads_the_fact_once_and_may_be_empty(spark, tmp_path, plan):
+    country = spark.createDataFrame([(1, 2.0)], "Code int, Temperature double")
+    spark.createDataFrame([("S", 1)], "i94addr string, i94res int").write.parquet(str(tmp_path / "f"))
+    fact = spark.read.parquet(str(tmp_path / "f"))
+    assert plan(analytics.corr_dest_climate_ratio(fact, country)).count("Scan parquet") == 1
+    row = analytics.corr_dest_climate_ratio(fact.limit(0), country).first()
+    assert tuple(row) == (0, 0, None, None)
+
+
+def test_presence_by_brute_force(spark):
+    import datetime as dt
+
+    rng = np.random.default_rng(3)
+    day = dt.date(2016, 1, 20)
+    rows = []
+    for _ in range(300):
+        came = day + dt.timedelta(int(rng.integers(0, 70)))
+        rows.append((came, came + dt.timedelta(int(rng.integers(-3, 40)))))
+    rows += [(day, None), (None, day), (None, None)]
+    got = analytics.visitors_present(spark.createDataFrame(rows, "arrdate date, depdate date")).collect()
+    stays = [(a, d or dt.date.max) for a, d in rows if a and (d is None or d >= a)]
+    assert sum(r["arrived"] for r in got) == len(stays) == sum(r["left"] for r in got) + 1
+    for r in got:
+        assert r["present"] == sum(a <= r["date"] <= d for a, d in stays)
+    assert len(got) == len({a for a, _ in stays} | {d + dt.timedelta(1) for _, d in stays if d != dt.date.max})
+
+
+def test_rank_correlation_with_ties_in_pieces(spark):
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 40, 4000)
+    y = x + rng.integers(-20, 20, 4000) * 1000
+    frame = pd.DataFrame({"x": x, "y": y})
+    rows = [(int(a), int(b)) for a, b in zip(x, y, strict=True)] + [(None, 1), (1, None)]
+    df = spark.createDataFrame(rows, "x int, y int").repartition(3)
+    row = analytics.rank_correlation(df, "x", "y").first()
+    assert row["rows"] == 4000 and abs(row["rho"] - frame.rank().corr().loc["x", "y"]) < 1e-12
+    same = analytics.rank_correlation(df.withColumn("x", df["x"] * 0), "x", "y").first()
+    assert same["rho"] is None
+    assert tuple(analytics.rank_correlation(df.limit(0), "x", "y").first()) == (0, None)
+
+
+def test_ranks_meet_by_range_only(spark, plan):
+    """The one window over everything sees a row for each range."""
+    from starmart.operators.ranks import average_ranks
+
+    counts = spark.range(5000).selectExpr("id * 7 AS v", "1 + id % 3 AS n")
+    ranks = average_ranks(counts, "v")
+    text = plan(ranks)
+    alone = text.split("Exchange SinglePartition")[1].splitlines()[1:4]
+    assert any("Aggregate" in line for line in alone)
+    last = ranks.orderBy(ranks["v"].desc()).first()
+    assert last["rank"] == counts.agg({"n": "sum"}).first()[0] - (counts.where("id = 4999").first()["n"] - 1) / 2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starmart import contracts
 from starmart.session import scratch_dir
 from starmart.sources import (
+    land_checked,
     land,
     load_table,
     read_lookup,
@@ -190,3 +191,84 @@ def test_scratch_lies_in_the_shared_folder(spark):
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one != two and Path(one).parent.parent == Path(base)
     assert Path(one).parent.name == f"starmart-{spark.sparkContext.applicationId}"
+
+
+def test_a_failed_first_load_is_followed_by_a_good_one(spark, tmp_path, rows):
+    """Of the failed load no row is left, nor anything that stands in the way of the next."""
+    names = "date string, day string, month int, year int, weekofyear int, dayofweek int"
+    good = spark.createDataFrame([("2016-04-01", "1", 4, 2016, 13, 6)], names)
+    bad = good.unionByName(good.withColumn("day", F.lit("1.5"))).repartition(2)
+    for _ in range(2):
+        with pytest.raises(Exception, match="cannot take"):
+            load_table(bad, contracts.DATE, "first_load")
+        assert spark.table("first_load").count() == 0
+    load_table(good, contracts.DATE, "first_load")
+    assert rows(spark.table("first_load")) == [("2016-04-01", 1, 4, 2016, 13, 6)]
+
+
+def test_rejects_are_kept_by_delivery(spark, visits, tmp_path, rows):
+    path, rejects = str(tmp_path / "v"), str(tmp_path / "rejects")
+    save(visits, path, partition_by=["i94yr", "i94mon"])
+    april, may = visits.where("i94mon = 4").limit(3), visits.where("i94mon = 5")
+    for name, strays in (("one", 3), ("two", 2), ("two", 2)):
+        assert upsert_partitions(may.unionByName(april.limit(strays)), path, [(2016, 5)], rejects=rejects, delivery=name) == strays
+    kept = spark.read.parquet(rejects)
+    assert rows(kept.groupBy("delivery").count()) == [("one", 3), ("two", 2)]
+    assert upsert_partitions(may, path, [(2016, 5)], rejects=rejects, delivery="three") == 0
+    assert upsert_partitions(may.unionByName(april), path, [(2016, 5)], rejects=rejects) == 3
+    assert spark.read.parquet(rejects).count() == 8 and spark.read.parquet(path).count() == 4000
+
+
+def test_a_delivery_is_read_once(spark, visits, tmp_path):
+    """The source is parsed again only for rows that were rejected."""
+    path = str(tmp_path / "v")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    save(visits, path, partition_by=["i94yr", "i94mon"])
+    may = visits.where("i94mon = 5")
+    n = may.count()
+    delivery = may.mapInArrow(counted, may.schema)
+    assert upsert_partitions(delivery, path, [(2016, 5)], rejects=str(tmp_path / "r"), rebalance=False) == 0
+    assert seen.value == n
+
+
+CSV = """a;b;"c d"
+1;2;3
+1;2
+1;2;3;4
+
+x;"q;r";y
+"x;2;3
+a;b;c d
+;;
+1;2;"3
+"""
+
+
+@pytest.mark.parametrize("sep", [";", ","])
+def test_every_line_is_landed_or_rejected(spark, tmp_path, rows, sep):
+    (tmp_path / "in").mkdir()
+    for name in ("one", "two"):
+        (tmp_path / "in" / name).write_text(CSV.replace(";", sep))
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    report = land_checked(spark, str(tmp_path / "in"), out, rejects, sep=sep)
+    assert [tuple(r) for r in report.collect()] == [(14, 6, 8, True)]
+    landed = rows(spark.read.parquet(out))
+    assert landed == sorted([("1", "2", "3"), ("x", f"q{sep}r", "y"), (None, None, None)] * 2, key=lambda r: [str(v) for v in r])
+    bad = rows(spark.read.parquet(rejects))
+    lines = {("1;2", "fields"), ("1;2;3;4", "fields"), ('"x;2;3', "quote"), ('1;2;"3', "quote")}
+    assert set(bad) == {(line.replace(";", sep), why) for line, why in lines} and len(bad) == 8
+
+
+def test_a_checked_source_without_bad_lines_or_rows(spark, tmp_path):
+    (tmp_path / "fine.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "none.csv").write_text("a,b\n")
+    for name, n in (("fine", 1), ("none", 0)):
+        out = [str(tmp_path / f"{name}-{x}") for x in ("out", "bad")]
+        assert tuple(land_checked(spark, str(tmp_path / f"{name}.csv"), *out).first()) == (n, n, 0, True)
+        assert spark.read.parquet(out[1]).columns == ["line", "reason"]
