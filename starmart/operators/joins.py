@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,19 +29,49 @@ def decode_fixed(df: DataFrame, codes: Mapping[int, str], key: str, output: str)
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether a DataFrame is proven small, by counting its rows and bytes in one pass.
+    """Whether a DataFrame is proven small, by counting its rows and bytes in one pass."""
+    return fit_broadcast([df], max_rows, max_bytes)[0]
+
+
+def fit_broadcast(
+    dfs: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Whether each of some DataFrames is proven small, by one job that counts rows and bytes of all.
 
     Each task sends one row of totals, so asking this of a large DataFrame is cheap next to
     the join it decides on.
     """
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
-        F.lit(0),
+    probes = []
+    for i, df in enumerate(dfs):
+        width = sum(
+            (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
+            F.lit(0),
+        )
+        totals = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size"))
+        probes.append(totals.withColumn("at", F.lit(i)))
+    found = {r["at"]: r for r in reduce(DataFrame.unionByName, probes).collect()}
+    return [found[i]["n"] <= max_rows and found[i]["size"] <= max_bytes for i in range(len(dfs))]
+
+
+def _code_side(lookup: DataFrame, code: str, value: str, output: str) -> DataFrame:
+    return (
+        lookup.where(F.col(f"`{code}`").isNotNull())
+        .groupBy(F.col(f"`{code}`").alias("__code"))
+        .agg(F.min(F.col(f"`{value}`")).alias(output))
     )
-    probe = df.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
-    ).first()
-    return probe["n"] <= max_rows and probe["size"] <= max_bytes
+
+
+def decode_all(
+    df: DataFrame,
+    lookups: Sequence[tuple[DataFrame, str, str, str, str]],
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``decode`` by several code tables, each (lookup, key, code, value, output), measured in one job."""
+    sides = [_code_side(lookup, code, value, output) for lookup, _, code, value, output in lookups]
+    for (_, key, *_), side, small in zip(lookups, sides, fit_broadcast(sides, max_rows), strict=True):
+        side = F.broadcast(side) if small else side
+        df = df.join(side, F.col(f"`{key}`") == F.col("__code"), "left").drop("__code")
+    return df
 
 
 def decode(
@@ -59,14 +90,7 @@ def decode(
     and the rows are not shuffled. A larger one is joined by shuffle, where adaptive execution
     splits hot codes.
     """
-    side = (
-        lookup.where(F.col(f"`{code}`").isNotNull())
-        .groupBy(F.col(f"`{code}`").alias("__code"))
-        .agg(F.min(F.col(f"`{value}`")).alias(output))
-    )
-    if fits_broadcast(side, max_rows):
-        side = F.broadcast(side)
-    return df.join(side, F.col(f"`{key}`") == F.col("__code"), "left").drop("__code")
+    return decode_all(df, [(lookup, key, code, value, output)], max_rows)
 
 
 def left_join_lower(

@@ -487,13 +487,21 @@ def lower_key_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lookup_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Three code tables read from files, one of which lists a code twice."""
-    modes = read_lookup(spark, _as_csv(spark, views.mode_lookup(spark, sf)), int_code="ID")
-    visas = read_lookup(spark, _as_csv(spark, views.visa_lookup(spark, sf)), int_code="ID")
-    ports = read_lookup(spark, _as_csv(spark, views.port_lookup(spark, sf)))
+    modes = read_lookup(
+        spark, _as_csv(spark, views.mode_lookup(spark, sf)), int_code="ID", schema="ID string, Mode string")
+    visas = read_lookup(
+        spark, _as_csv(spark, views.visa_lookup(spark, sf)), int_code="ID", schema="ID string, Visa string")
+    ports = read_lookup(
+        spark, _as_csv(spark, views.port_lookup(spark, sf)), schema="ID string, Port string")
     fact = _fact(spark, sf, "cicid", "i94mode", "i94visa", "i94port")
-    fact = joins.decode(fact, modes, "i94mode", "ID", "Mode", "mode")
-    fact = joins.decode(fact, visas, "i94visa", "ID", "Visa", "visa")
-    return joins.decode(fact, ports, "i94port", "ID", "Port", "port")
+    return joins.decode_all(
+        fact,
+        [
+            (modes, "i94mode", "ID", "Mode", "mode"),
+            (visas, "i94visa", "ID", "Visa", "visa"),
+            (ports, "i94port", "ID", "Port", "port"),
+        ],
+    )
 
 
 @query
