@@ -30,6 +30,7 @@ from starmart.llm.shingles import Words, components, folded, shingled
 from starmart.llm.store import table, text_of, written
 
 ROWS, HALVES = 3, 10
+PARITY = 8  # 64-bit words of a set's parities
 
 _SEEDS = np.random.default_rng(20240229).integers(0, 2**64, size=2 * HALVES * ROWS, dtype=np.uint64)
 _TURN = np.uint64(0xBF58476D1CE4E5B9)
@@ -45,6 +46,15 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     return folded(list(least.reshape(-1, ROWS).T.copy()))
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the set's hashes falls into each of 64 * ``PARITY`` places, as bits.
+
+    Two sets' bits differ in no more places than there are shingles in one of them alone.
+    """
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -70,8 +80,9 @@ def _sets(size: int):
             found = [np.unique(shingled(words.hashes(t.as_py()), size)) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                 pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))],
-                ["node", "set"])
+                 pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                 pa.array([parities(x) for x in found], pa.list_(pa.int64()))],
+                ["node", "set", "parity"])
 
     return run
 
@@ -134,29 +145,46 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
         "key", "node", f"place <= size - ceil(size * {2 * percent} / {100 + percent}) + 1 AS short")
 
 
+def may_reach(percent: int) -> str:
+    """Whether sets whose bits ``x_p`` and ``y_p`` are parities can reach the similarity.
+
+    Bits that differ are shingles that only one set has, so they bound what is common. Exact: no
+    pair that reaches it is left out.
+    """
+    differ = " + ".join(f"bit_count(x_p[{i}] ^ y_p[{i}])" for i in range(PARITY))
+    return f"{100 + percent} * (a_n + b_n - ({differ})) >= {2 * percent} * (a_n + b_n)"
+
+
 def rest_pairs(keyed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components: what is outside a key's largest one, with all of the key."""
+    """Pairs of different components: what is outside a key's largest one, with all of the key.
+
+    Where rows have the parities of their sets, pairs that differ in too many do not leave the join.
+    """
+    sketched = "parity" in keyed.columns
     parts = keyed.groupBy("key", "root").agg(F.count("*").alias("c"))
     largest = parts.groupBy("key").agg(
         F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
     open_ = keyed.join(largest.selectExpr("key", "m.root AS major"), "key")
     minor = open_.where("root <> major").selectExpr(
-        "key", "node AS x", "root AS x_root", "n AS a_n", "short AS x_short")
-    every = open_.selectExpr("key", "node AS y", "root AS y_root", "n AS b_n", "short AS y_short", "major")
+        "key", "node AS x", "root AS x_root", "n AS a_n", "short AS x_short", *(["parity AS x_p"] if sketched else []))
+    every = open_.selectExpr(
+        "key", "node AS y", "root AS y_root", "n AS b_n", "short AS y_short", "major",
+        *(["parity AS y_p"] if sketched else []))
     return (
         minor.join(every, "key")
         .where("x_root <> y_root AND (y_root = major OR x < y)")
         .where("if(a_n < b_n, x_short, if(a_n > b_n, y_short, x_short OR y_short))")
         .where(near_enough(percent))
+        .where(may_reach(percent) if sketched else "true")
         .selectExpr("least(x, y) AS a", "greatest(x, y) AS b").distinct()
     )
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, set) of the given nodes (node, id), made anew from the texts they stand for."""
+    """(node, set, parity) of the given nodes (node, id), made anew from the texts they stand for."""
     ids = nodes.select(F.col("id").alias("doc_id")).distinct()
     texts = _texts(docs).join(ids, "doc_id", "left_semi")
-    made = texts.select("text").mapInArrow(_sets(size), "node binary, set array<long>")
+    made = texts.select("text").mapInArrow(_sets(size), "node binary, set array<long>, parity array<long>")
     # Rows of one doc_id can hold several texts: only those of the nodes count, each once.
     return made.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -191,7 +219,8 @@ def decided(docs: DataFrame, size: int, percent: int) -> DataFrame:
     open_keys = rooted.where("c > 2").groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     open_nodes = written(rooted.join(open_keys, "key").select("node", "n", "root").distinct(), "open")
-    fine = written(prefixes(sets.join(open_nodes.select("node"), "node"), percent).join(open_nodes, "node"), "prefixes")
+    drawn = open_nodes.join(sets.select("node", "parity"), "node")
+    fine = written(prefixes(sets.join(open_nodes.select("node"), "node"), percent).join(drawn, "node"), "prefixes")
     rest = written(rest_pairs(fine, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         roots = components(links.union(confirmed(rest, sets, percent)))
