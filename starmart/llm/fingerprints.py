@@ -1,13 +1,16 @@
 """Document fingerprints: a Merkle tree over sections and paragraphs.
 
 Sections are parted by blank lines, paragraphs by line breaks. A paragraph's digest is that of
-its text, a section's that of its paragraphs' digests, and the root's that of the sections'. Equal
-roots mean equal texts; where roots differ, differing branches name the sections and
-paragraphs that were edited. Under the paragraphs lie marks of short phrases, up to eight words
-within a sentence, by which two fingerprints are likened.
+its text, a section's that of its paragraphs' digests and of the line that parts it from the next,
+and the root's that of the sections'. Nothing of the text is left out, so equal roots mean equal
+texts; where roots differ, differing branches name the sections and paragraphs that were
+edited. Under the paragraphs lie marks of short phrases, up to eight words within a sentence, by
+which two fingerprints are likened.
 
 A fingerprint is written ``root|sections|phrases``: sections parted by ``;``, the paragraphs
-within by ``,``, digests in hex.
+within by ``,``, digests in hex. ``~`` and a digest follow a section that ends in anything but one
+empty line. Branches are cut to ``BRANCH`` digits: two different ones are taken for equal with a
+chance of 2**-48 each, the roots being whole.
 """
 
 from __future__ import annotations
@@ -32,13 +35,17 @@ def phrases(text: str) -> Column:
 
 def fingerprint(text: str, marks: str) -> Column:
     section = SECTION.replace("\\", "\\\\")
+    # The lines of each section and, but for the last, what parts it from the next.
     tree = (
-        f"transform(split({text}, '{section}', -1),"
-        f" s -> transform(split(s, '\\n', -1), p -> sha2(p, 256)))")
+        f"zip_with(split({text}, '{section}', -1), regexp_extract_all({text}, '{section}', 0), (s, g) ->"
+        f" named_struct('p', transform(split(s, '\\n', -1), p -> sha2(p, 256)),"
+        f" 'g', if(g is null or g = '\\n\\n', '', sha2(g, 256))))")
     return F.expr(f"""
         concat_ws('|',
-          sha2(array_join(transform({tree}, s -> sha2(array_join(s, ','), 256)), ';'), 256),
-          array_join(transform({tree}, s -> array_join(transform(s, p -> left(p, {BRANCH})), ',')), ';'),
+          sha2(array_join(transform({tree}, s -> sha2(concat(array_join(s.p, ','), ':', s.g), 256)), ';'), 256),
+          array_join(transform({tree}, s -> concat(
+            array_join(transform(s.p, p -> left(p, {BRANCH})), ','),
+            if(s.g = '', '', concat('~', left(s.g, {BRANCH}))))), ';'),
           array_join(transform({marks}, m -> right(concat('0000000', hex(m)), 8)), ''))""")
 
 
@@ -59,17 +66,17 @@ def fingerprint_marks(fingerprint: str) -> Column:
 def edits(a: str, b: str) -> Column:
     """Where two fingerprints differ: (section, paragraph) places, from 0, where the branches do.
 
-    Empty when the roots are equal.
+    Empty when the roots are equal. What parts a section from the next counts as the place after
+    its last paragraph where it is more than an empty line.
     """
-    side = lambda f: f"transform(split(split({f}, '[|]')[1], ';', -1), s -> split(s, ',', -1))"
-    x, y = side(a), side(b)
+    side = lambda f: f"transform(split(split({f}, '[|]')[1], ';', -1), s -> split(s, '[,~]', -1))"
     return F.expr(f"""
         if(split({a}, '[|]')[0] = split({b}, '[|]')[0], cast(array() as array<struct<section:int,paragraph:int>>),
-          flatten(transform(sequence(0, greatest(size({x}), size({y})) - 1), i ->
-            transform(
-              filter(
-                sequence(0, greatest(size(coalesce(get({x}, i), array())), size(coalesce(get({y}, i), array()))) - 1),
-                j -> not (get(get({x}, i), j) <=> get(get({y}, i), j))),
+          flatten(transform(
+            zip_with({side(a)}, {side(b)}, (x, y) ->
+              zip_with(coalesce(x, array()), coalesce(y, array()), (p, q) -> not (p <=> q))),
+            (differ, i) -> transform(
+              filter(transform(differ, (d, j) -> if(d, j, -1)), j -> j >= 0),
               j -> named_struct('section', i, 'paragraph', j)))))""")
 
 
@@ -99,7 +106,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     A null text counts as empty. The edited text has its last half replaced by the start of the
     next document by doc_id. Rows of one doc_id share their successor; where a successor has
     several rows, the smallest text stands for it. A null doc_id counts as the smallest. With a
-    single doc_id a document follows itself.
+    single doc_id a document follows itself. ``edited_places`` are the differing branches of the
+    text's tree and the edited text's.
     """
     texts = docs.select(
         F.expr(f"coalesce(cast(doc_id as long), {FIRST})").alias("k"), text_of().alias("text"))
@@ -119,7 +127,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         "*",
         F.expr("concat(substring(text, 1, n - n div 2), substring(head, 1, n div 2))").alias("edited"))
     edited = edited.select("*", phrases("edited").alias("edited_marks"))
-    return edited.select(
+    compared = edited.select(
         F.expr(f"nullif(k, {FIRST})").alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -128,6 +136,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         likeness("marks", "edited_marks").alias("near_edited"),
         likeness("marks", "next_marks").alias("near_next"),
     )
+    return compared.select("*", edits("fingerprint", "edited_fingerprint").alias("edited_places"))
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
