@@ -30,6 +30,7 @@ MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 UNIT = rf"{BLANK}*[\p{{L}}\p{{N}}]+|{BLANK}*[^\p{{L}}\p{{N}}{BLANK}]+|{BLANK}+"
 LONGEST_UNIT = 32  # characters of a unit that may enter the dictionary
+SHARES = 1 << 30  # parts of a level of counts
 DICTIONARY = 200_000  # units at most
 CACHED_UNITS = 400_000
 
@@ -126,17 +127,23 @@ def unit_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent(counts: DataFrame, most: int = DICTIONARY, longest: int = LONGEST_UNIT) -> DataFrame:
-    """The units above a count at which there are at most ``most``; a bound for a cache, no more."""
+    """About the ``most`` most frequent units, never more; a bound for a cache, no more.
+
+    Counts are levelled by their logarithm. Of the level that does not fit whole, a share by hash
+    of the units fills what is left.
+    """
     short = counts.where(F.length("unit") <= longest)
     level = F.floor(F.log2("n") * 8).cast("int")
     sizes = short.groupBy(level.alias("level")).agg(F.count("*").alias("units")).collect()  # a few hundred rows
-    room, lowest = most, 1 << 30
+    room, cut, share = most, -1, 0
     for r in sorted(sizes, key=lambda r: -r["level"]):
-        room -= r["units"]
-        if room < 0:
+        if r["units"] > room:
+            # Hashes fall unevenly: five times the spread of the number below the room.
+            cut, share = r["level"], int(SHARES * max(room - 5 * room**0.5, 0) / r["units"])
             break
-        lowest = r["level"]
-    return short.where(level >= lowest).select("unit")
+        room -= r["units"]
+    part = (level == cut) & (F.pmod(F.xxhash64("unit"), F.lit(SHARES)) < share)
+    return short.where((level > cut) | part).select("unit")
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
