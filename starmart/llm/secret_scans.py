@@ -31,6 +31,7 @@ ENDPOINT = r"""(?i)\b[a-z][a-z0-9+.-]*://[^\s"'<>]+|\b(?:host|server|endpoint)["
 SCOPE = 256
 
 SPANS = "array<struct<s:int,e:int>>"
+TOGETHER = 200  # matches added up at a time
 
 
 def _literal(pattern: str) -> str:
@@ -41,20 +42,28 @@ def spans_of(text: str, pattern: str) -> Column:
     """Start and end, in code points, of a pattern's matches, leftmost and not overlapping.
 
     Matches and the gaps between them come from one pattern, so their lengths add up to
-    positions. Most texts match nothing and stop at the first test.
+    positions. They are added up in blocks, then the blocks, so that no long array is built by
+    appending. Most texts match nothing and stop at the first test.
     """
     p = _literal(pattern)
+    none = f"cast(array() as {SPANS})"
     return F.expr(f"""
         if({text} rlike {p},
-          aggregate(
-            zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, g) -> struct(m, g)),
-            named_struct('at', 0, 'out', cast(array() as {SPANS})),
-            (a, x) -> if(x.m is null, a, named_struct(
-              'at', a.at + length(x.g) + length(x.m),
-              'out', array_append(a.out, named_struct(
-                's', a.at + length(x.g), 'e', a.at + length(x.g) + length(x.m))))),
-            a -> a.out),
-          cast(array() as {SPANS}))""")
+          get(transform(array(
+            zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, g) ->
+              named_struct('g', length(g), 'm', length(m)))), pairs ->
+            get(transform(array(
+              transform(sequence(0, cast((size(pairs) - 1) div {TOGETHER} as int)), i ->
+                aggregate(slice(pairs, i * {TOGETHER} + 1, {TOGETHER}), named_struct('at', 0, 'out', {none}),
+                  (a, x) -> if(x.m is null, a, named_struct(
+                    'at', a.at + x.g + x.m,
+                    'out', array_append(a.out, named_struct('s', a.at + x.g, 'e', a.at + x.g + x.m))))))), blocks ->
+              flatten(zip_with(
+                blocks,
+                aggregate(blocks, named_struct('at', 0, 'out', cast(array() as array<int>)),
+                  (a, x) -> named_struct('at', a.at + x.at, 'out', array_append(a.out, a.at)), a -> a.out),
+                (x, from) -> transform(x.out, y -> named_struct('s', y.s + from, 'e', y.e + from))))), 0)), 0),
+          {none})""")
 
 
 def _valued(text: str, pattern: str, spans: str, least: int) -> Column:
