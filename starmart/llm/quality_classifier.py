@@ -121,7 +121,8 @@ def fit(
 ) -> Discriminant | None:
     """Learn from all labelled rows that aren't held out; None unless both classes occur.
 
-    Labels other than 0 and 1 are passed over. Only sums come to the driver: a matrix a class.
+    Labels other than 0 and 1 are passed over. A doc_id with several rows among the labels, of one
+    label or of both, counts once for each of them, as does each row of a repeated document. Only sums come to the driver: a matrix a class.
     """
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))

@@ -17,7 +17,9 @@ def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Data
     """``df`` as a table in the shared scratch folder: computed once, safe from lost executors."""
     path = scratch_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    read = df.sparkSession.read
+    # A partitioned table without rows has no file to tell its columns.
+    return (read.schema(df.schema) if partition_by else read).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

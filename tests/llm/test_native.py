@@ -1,7 +1,9 @@
 """URL filters, fingerprints, quality rules and secret scans against plain Python."""
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from check_oracle import compare, connect
@@ -187,3 +189,69 @@ def test_edits_are_located(spark):
     printed = marked.select("want", fingerprints.fingerprint("a", "am").alias("fa"), fingerprints.fingerprint("b", "bm").alias("fb"), "am")
     for r in printed.select("want", fingerprints.edits("fa", "fb").alias("got"), F.size(fingerprints.fingerprint_marks("fa")).alias("n"), "am").collect():
         assert r["got"] == r["want"] and r["n"] == len(r["am"])
+
+
+SECTION = re.compile(r"\n[ \t]*\n")
+
+
+def brute_tree(text):
+    """The root and the branches of a text's tree."""
+    def digest(x):
+        return hashlib.sha256(x.encode()).hexdigest()
+
+    parts, gaps = SECTION.split(text), SECTION.findall(text)
+    sections, branches = [], []
+    for part, gap in zip(parts, [*gaps, "\n\n"], strict=True):
+        lines = [digest(x) for x in part.split("\n")]
+        parting = "" if gap == "\n\n" else digest(gap)
+        sections.append(digest(",".join(lines) + ":" + parting))
+        branches.append(",".join(x[:12] for x in lines) + (f"~{parting[:12]}" if parting else ""))
+    return digest(";".join(sections)), ";".join(branches)
+
+
+def test_roots_test_equality(spark):
+    """Texts that differ in blanks, tabs and the number of line breaks alone, each against each."""
+    rng = random.Random(17)
+    texts = sorted({"".join(rng.choice(["a", "b", "\n", "\n", "\n", " ", "\t"]) for _ in range(rng.randrange(9))) for _ in range(1500)})
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    printed = df.select("t", fingerprints.phrases("t").alias("m")).select("t", fingerprints.fingerprint("t", "m").alias("f"))
+    roots = {r["t"]: r["f"].split("|") for r in printed.collect()}
+    assert len({f[0] for f in roots.values()}) == len(texts)
+    for t, f in roots.items():
+        assert tuple(f[:2]) == brute_tree(t)
+
+
+def test_a_changed_parting_line_is_located(spark):
+    df = spark.createDataFrame([("a\n\nb\nc", "a\n \t\nb\nc"), ("a\n\nb", "a\n\nb"), ("a", "a\n\nx\ny")], "a string, b string")
+    marked = df.select(*[fingerprints.phrases(c).alias(f"{c}m") for c in "ab"], "a", "b")
+    printed = marked.select(fingerprints.fingerprint("a", "am").alias("fa"), fingerprints.fingerprint("b", "bm").alias("fb"))
+    got = [[tuple(x) for x in r["e"]] for r in printed.select(fingerprints.edits("fa", "fb").alias("e")).collect()]
+    assert got == [[(0, 1)], [], [(1, 0), (1, 1)]]
+
+
+def test_likeness_and_trees_of_documents(spark, sf_dir):
+    """Fingerprint, likeness to the edited text and to the next document, for the whole table."""
+    word = re.compile(r"(?:\S*[^\s.!?][ \t]+){0,7}\S+", re.ASCII)
+    texts = sorted((r["doc_id"], r["text"] or "") for r in table(spark, sf_dir, "documents").collect())
+    following = dict(zip([d for d, _ in texts], [t for _, t in texts[1:]] + [texts[0][1]], strict=True))
+    own = dict(texts)
+    for r in QUERIES["op3_fingerprints"](spark, sf_dir).collect():
+        a, b = own[r["doc_id"]], following[r["doc_id"]]
+        edited = a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+        assert tuple(r["fingerprint"].split("|")[:2]) == brute_tree(a)
+        assert tuple(r["edited_fingerprint"].split("|")[:2]) == brute_tree(edited)
+        for other, got in ((edited, r["near_edited"]), (b, r["near_next"])):
+            x, y = set(word.findall(a)), set(word.findall(other))
+            assert abs(got - (2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0)) < 1e-6
+        assert bool(r["edited_places"]) == (a != edited)
+
+
+def test_a_text_of_very_many_matches(spark):
+    """Positions are right at the ends of blocks, and the time is that of the text's length."""
+    unit = "é password = abcdefgh "
+    for n in (199, 200, 201, 40_000):
+        df = spark.createDataFrame([(unit * n + "x",)], "body string")
+        began = time.time()
+        (got,) = df.select(secret_scans.spans_of("body", secret_scans.ASSIGN)).first()
+        assert [(s["s"], s["e"]) for s in got] == [(len(unit) * i + 2, len(unit) * i + 21) for i in range(n)]
+        assert time.time() - began < 10

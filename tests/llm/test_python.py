@@ -116,6 +116,31 @@ def test_texts_under_one_id_are_judged_each(spark):
         [(1, a), (2, b), (2, c), (3, d), (3, None), (None, a)], key=str)
 
 
+def test_a_crowd_around_the_threshold(spark):
+    """Two thousand near copies of one text, most pairs of which are just above or below it."""
+    rng = random.Random(41)
+    template = words(rng, 70)
+    texts = []
+    for i in range(2000):
+        text = list(template)
+        for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4])):
+            text[rng.randrange(70)] = f"v{rng.randrange(4)}" if i % 3 else f"u{rng.randrange(3000)}"
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.groups(docs, 3, 85).collect()}
+    assert got == brute_groups(dict(enumerate(texts)), 3, 85)
+
+
+def test_parities_bound_what_is_common():
+    rng = np.random.default_rng(6)
+    for n, changed in ((5, 1), (80, 10), (500, 60), (3000, 900)):
+        a = rng.integers(0, 2**64, n, dtype=np.uint64)
+        b = np.concatenate([a[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)])
+        x, y = minhash.parities(np.unique(a)), minhash.parities(np.unique(b))
+        differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert differ <= 2 * changed and (differ > changed / 4 or n == 3000)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
@@ -203,8 +228,9 @@ def test_odd_rows_in_passages(spark, odd_docs, no_docs):
     long = " ".join(words(random.Random(3), 90))
     rows = [(100, long, "en", "s", 1, 2, "k"), (100, long + " z", "en", "s", 1, 2, "k"), (101, long, "en", "s", 1, 2, "k"), (None, long, "en", "s", 1, 2, "k")]
     docs = odd_docs.union(spark.createDataFrame(rows, odd_docs.schema))
-    found = passages.spans(passages.repeats(passages.searched(docs))).collect()
-    assert {(r["doc_id"], r["kept"]) for r in found} == {(100, True), (101, False)}
+    texts = passages.searched(docs)
+    found = passages.named(passages.spans(passages.repeats(texts)), texts).collect()
+    assert {(r["doc_id"], r["kept"]) for r in found} == {(100, True), (100, False), (101, False)}
     left = passages.substring_dedup_stage(spark, docs, "")
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert left.count() == docs.count() - 1
@@ -533,3 +559,31 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, sf_dir):
     assert all(not brute_secrets(t) for t in after.values()) and all(after[d] == t for d, t in before.items() if "[SECRET]" not in after[d])
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     check_packing(rows, list(after.items()))
+
+
+def test_all_texts_of_a_repeated_id_are_searched(spark):
+    """Two documents share a passage in texts that are not the smallest under their ids."""
+    rng = random.Random(43)
+    passage = words(rng, 80)
+    one, two = [" ".join(words(rng, 20) + passage + words(rng, 20)) for _ in range(2)]
+    plain = [" ".join(["a0", *words(rng, 60)]) for _ in range(3)]
+    rows = [(1, plain[0]), (1, one), (1, one), (2, two), (2, plain[1]), (3, plain[2]), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    texts = passages.searched(docs)
+    found = {(r["doc_id"], r["start_word"], r["end_word"], r["first_doc_id"], r["kept"])
+             for r in passages.named(passages.spans(passages.repeats(texts)), texts).collect()}
+    assert found == {(1, 20, 100, 1, True), (2, 20, 100, 1, False)}
+    left = sorted((r["doc_id"] or 0, len(r["text"].split())) for r in passages.substring_dedup_stage(spark, docs, "").collect())
+    assert left == [(0, 120), (1, 61), (1, 120), (1, 120), (2, 40), (2, 61), (3, 61)]
+
+
+def test_the_dictionary_is_filled_whatever_the_counts(spark):
+    """Units of one count only, more than fit: most of the room is used and never more."""
+    flat = spark.range(20_001).selectExpr("concat('u', id) AS unit", "1L AS n")
+    for most in (1_000, 5_000):
+        assert 0.8 * most <= sentence_pieces.frequent(flat, most).count() <= most
+    steep = spark.range(3_000).selectExpr("concat('u', id) AS unit", "if(id < 100, 1000 + id, 1 + id % 2) AS n")
+    kept = sentence_pieces.frequent(steep, 500)
+    assert 400 <= kept.count() <= 500 and kept.join(steep.where("n >= 1000"), "unit").count() == 100
+    assert sentence_pieces.frequent(flat.limit(7), 1_000).count() == 7
+    assert sentence_pieces.frequent(flat, 1).count() <= 1
