@@ -809,4 +809,36 @@ ORACLES: dict[str, str] = {
         "country",
         "state",
     ),
+    "merge_visits": _sql(
+        """, text AS (SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate, CAST(depdate AS VARCHAR) AS depdate),
+            i94yr IN (1994, 1995) AS old FROM fact)
+        SELECT * EXCLUDE (old) REPLACE (
+          CASE WHEN old AND cicid % 35 = 0 THEN 'moved' WHEN old AND cicid % 14 = 0 THEN 'fix 2'
+            WHEN old AND cicid % 7 = 0 THEN 'fix 1' ELSE fltno END AS fltno,
+          CASE WHEN old AND cicid % 35 = 0 THEN 1997 ELSE i94yr END AS i94yr,
+          CASE WHEN old AND cicid % 35 = 0 THEN 6 ELSE i94mon END AS i94mon)
+        FROM text
+        UNION ALL SELECT * EXCLUDE (old) REPLACE (cicid + 10000000 AS cicid) FROM text WHERE old AND cicid % 50 = 3""",
+        "fact",
+    ),
+    "name_candidates": _sql(
+        """, wanted AS (SELECT DISTINCT "Country" AS name FROM temperature_raw
+            WHERE lower("Country") NOT IN (SELECT lower("I94CTRY") FROM country_lookup)),
+        known AS (SELECT DISTINCT "I94CTRY" AS candidate FROM country_lookup)
+        SELECT name, candidate, CAST(levenshtein(lower(name), lower(candidate)) AS INTEGER) AS distance
+        FROM wanted, known
+        WHERE levenshtein(lower(name), lower(candidate))
+          <= least(2, (greatest(length(name), length(candidate)) - 1) // 4)""",
+        "temperature_raw",
+        "country_lookup",
+    ),
+    "column_sketches": _sql(
+        _union([
+            f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+              count(DISTINCT {c}) AS values, true AS distinct_within, true AS quantiles_within, true AS counts_equal
+            FROM fact"""
+            for c in ("cicid", "airline", "i94cit", "stay", "i94bir")
+        ]),
+        "fact",
+    ),
 }

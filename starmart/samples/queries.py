@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart import functions as fn
-from starmart.operators import aggregates, dims, facts, joins, quality, shape
+from starmart.operators import aggregates, dims, facts, joins, names, quality, shape, sketches
 from starmart.plans import analytics, reports, star
 from starmart.plans.star import MONTH, in_months
 from starmart.samples import views
 from starmart.session import scratch_dir
 from starmart.sources import (
+    Snapshots,
     land,
     land_checked,
     load_table,
+    merge_rows,
     read_lookup,
     read_source,
     save,
@@ -244,8 +246,7 @@ def csv_rejects_landed(spark: SparkSession, sf: str) -> DataFrame:
     return read_source(spark, _checked_readings(spark, sf)[1], "parquet")
 
 
-def _published(spark: SparkSession, sf: str):
-    """A first version, the months of 1995 revised, a publication stopped by its check, a roll-back."""
+def _first_version(spark: SparkSession, sf: str) -> tuple[str, Snapshots]:
     root = scratch_dir(spark, "published")
     tables = {
         "immigration": _fact(spark, sf),
@@ -254,7 +255,12 @@ def _published(spark: SparkSession, sf: str):
         "state": _state(spark, sf),
     }
     star.publish_star(spark, tables, root, rebalance=True)
-    snapshots = star.star_snapshots(spark, root)
+    return root, star.star_snapshots(spark, root)
+
+
+def _published(spark: SparkSession, sf: str) -> Snapshots:
+    """A first version, the months of 1995 revised, a publication stopped by its check, a roll-back."""
+    root, snapshots = _first_version(spark, sf)
     old = snapshots.read()["immigration"]
     revised = old.where(F.col("i94yr") == 1995).withColumn("fltno", F.lit("revised"))
     star.publish_star(spark, {"immigration": revised}, root, YEAR)
@@ -272,6 +278,30 @@ def publish_star(spark: SparkSession, sf: str) -> DataFrame:
     return _published(spark, sf).read(2)["immigration"]
 
 
+@query
+def merge_visits(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrections of two years, several for some visits, some of which move to another month, and
+    visits that are new; merged twice."""
+    snapshots = _first_version(spark, sf)[1]
+    old = snapshots.read()["immigration"].where(F.col("i94yr").isin(1994, 1995))
+    key = F.col("cicid")
+
+    def corrected(where: Column, order: int, **changes: Column) -> DataFrame:
+        return old.where(where).withColumns({**changes, "delivered": F.lit(order)})
+
+    parts = [
+        corrected(key % 7 == 0, 1, fltno=F.lit("fix 1")),
+        corrected(key % 14 == 0, 2, fltno=F.lit("fix 2")),
+        corrected(key % 35 == 0, 3, fltno=F.lit("moved"), i94yr=F.lit(1997), i94mon=F.lit(6)),
+        corrected(key % 50 == 3, 1, cicid=key + 10_000_000),
+    ]
+    delivery = scratch_dir(spark, "delivery")
+    save(reduce(DataFrame.unionByName, parts), delivery)
+    for _ in range(2):
+        merge_rows(snapshots, "immigration", read_source(spark, delivery, "parquet"), "cicid", ["delivered"])
+    return snapshots.read()["immigration"]
+
+
 @query
 def published_versions(spark: SparkSession, sf: str) -> DataFrame:
     """(version, table, rows, revised) of every version."""
@@ -511,6 +541,13 @@ def fixed_codes(spark: SparkSession, sf: str) -> DataFrame:
     return joins.decode_fixed(fact, joins.VISAS, "i94visa", "visa")
 
 
+@query
+def name_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """For countries of the readings that the code table lacks, names of it that are nearly theirs."""
+    readings = views.temperature_raw(spark, sf)
+    return names.name_candidates(readings, views.country_lookup(spark, sf), "Country", "I94CTRY")
+
+
 # -- aggregates --------------------------------------------------------------------------
 
 
@@ -628,6 +665,39 @@ def drop_high_null(spark: SparkSession, sf: str) -> DataFrame:
     return quality.drop_high_null(raw, threshold=0.25)
 
 
+SKETCHED = ("cicid", "airline", "i94cit", "stay", "i94bir")
+SKETCHED_NUMBERS = ("cicid", "stay", "i94bir")
+
+
+@query
+def column_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact profiles, and whether those merged from month sketches are within their errors."""
+    path, stored = scratch_dir(spark, "visits"), scratch_dir(spark, "sketches")
+    fact = _fact(spark, sf, *MONTH, "cicid", "airline", "i94cit", "i94bir", "arrdate", "depdate")
+    save(fact, path, partition_by=MONTH)
+    fact = read_source(spark, path, "parquet")
+    sketches.refresh_sketches(fact, stored, SKETCHED, SKETCHED_NUMBERS)
+    merged = sketches.refresh_sketches(fact, stored, SKETCHED, SKETCHED_NUMBERS, YEAR)
+    # A row for each column.
+    profile = {r["column"]: r for r in sketches.sketch_profile(merged).collect()}
+    parts = []
+    for name in SKETCHED:
+        x, found = F.col(name), profile[name]
+        n, distinct = F.count(x), F.count_distinct(x)
+        near = F.abs(F.lit(found["distinct"]) - distinct) <= sketches.DISTINCT_ERROR * distinct + 1
+        ranks = F.lit(True)
+        for q, value in zip(sketches.QUANTILES, found["quantiles"] or [], strict=False):
+            below, upto = F.count_if(x < value) / n, F.count_if(x <= value) / n
+            ranks = ranks & (below <= q + sketches.RANK_ERROR) & (upto >= q - sketches.RANK_ERROR)
+        exact = fact.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(x.isNull()).alias("nulls"), distinct.alias("values"),
+            near.alias("distinct_within"), ranks.alias("quantiles_within"),
+        )
+        same = (F.col("rows") == found["rows"]) & (F.col("nulls") == found["nulls"])
+        parts.append(exact.withColumns({"column": F.lit(name), "counts_equal": same}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def unknown_categories(spark: SparkSession, sf: str) -> DataFrame:
     return quality.unknown_categories(

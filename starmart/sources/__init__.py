@@ -6,14 +6,17 @@ from starmart.sources.files import (
     read_source,
     save,
 )
+from starmart.sources.merge import KeyIndex, merge_rows
 from starmart.sources.snapshots import Snapshots
 from starmart.sources.tables import load_table, upsert_partitions
 
 __all__ = [
+    "KeyIndex",
     "Snapshots",
     "land",
     "land_checked",
     "load_table",
+    "merge_rows",
     "path_exists",
     "read_checked",
     "read_lookup",
