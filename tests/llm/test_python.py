@@ -587,3 +587,19 @@ def test_the_dictionary_is_filled_whatever_the_counts(spark):
     assert 400 <= kept.count() <= 500 and kept.join(steep.where("n >= 1000"), "unit").count() == 100
     assert sentence_pieces.frequent(flat.limit(7), 1_000).count() == 7
     assert sentence_pieces.frequent(flat, 1).count() <= 1
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark, odd_docs, no_docs, tmp_path):
+    """Nulls in every column, empty and repeated rows, clashing columns, no rows at all."""
+    rng = random.Random(47)
+    fine = " ".join(words(rng, 90))
+    rows = [(500, fine, "en", "s", 1, 2, "k"), (500, fine, "en", "s", 1, 2, "k"), (501, fine + " end", "en", "s", 1, 2, "k")]
+    rows += [(502, " ".join(words(rng, 40)), "en", "s", 1, 2, "k"), (502, " ".join(words(rng, 40)), None, None, None, None, None)]
+    rows += [(None, " ".join(words(rng, 40)), "en", "s", 1, 2, "k")]
+    odd_docs.union(spark.createDataFrame(rows, odd_docs.schema)).write.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    no_docs.write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    whole = [r["doc_id"] for r in got if r["doc_id"] is None or r["doc_id"] >= 500]
+    assert sorted(whole, key=str) == [500, 502, 502, None]
+    assert len(got) <= len(whole) + 2
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
