@@ -841,4 +841,20 @@ ORACLES: dict[str, str] = {
         ]),
         "fact",
     ),
+    "airport_city": _sql(
+        """, ports AS (SELECT s_name AS ident, CASE WHEN s_suppkey % 9 <> 0 THEN
+              CAST(concat((s_suppkey * 37) % 360 - 180, '.25') AS DOUBLE) END AS lon,
+            CASE WHEN s_suppkey % 9 <> 0 THEN CAST(concat((s_suppkey * 53) % 179 - 89, '.5') AS DOUBLE) END AS lat
+          FROM supplier),
+        towns AS (SELECT CAST("Latitude" AS DOUBLE) AS t_lat, CAST("Longitude" AS DOUBLE) AS t_lon, min("City") AS city,
+            arg_min("Country", concat("City", '|', "Country")) AS country FROM temperature_raw GROUP BY 1, 2),
+        far AS (SELECT ident, city, country, t_lat, t_lon, round(6371 * sqrt(
+              pow(cos(radians(lat)) * cos(radians(lon)) - cos(radians(t_lat)) * cos(radians(t_lon)), 2)
+              + pow(cos(radians(lat)) * sin(radians(lon)) - cos(radians(t_lat)) * sin(radians(t_lon)), 2)
+              + pow(sin(radians(lat)) - sin(radians(t_lat)), 2)), 6) AS chord FROM ports, towns WHERE lat IS NOT NULL),
+        best AS (SELECT * FROM far QUALIFY row_number() OVER (PARTITION BY ident ORDER BY chord, t_lat, t_lon) = 1)
+        SELECT p.ident, b.city, b.country, CASE WHEN b.chord IS NOT NULL THEN round(2 * 6371 * asin(least(b.chord / (2 * 6371), 1.0)), 4) END AS km
+        FROM ports p LEFT JOIN best b ON b.ident = p.ident""",
+        "temperature_raw",
+    ),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart import contracts
 from starmart import functions as fn
-from starmart.operators import aggregates, dims, facts, joins, names, quality, shape, sketches
+from starmart.operators import aggregates, dims, facts, joins, names, nearest, quality, shape, sketches
 from starmart.plans import analytics, reports, star
 from starmart.plans.star import MONTH, in_months
 from starmart.samples import views
@@ -548,6 +548,16 @@ def name_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return names.name_candidates(readings, views.country_lookup(spark, sf), "Country", "I94CTRY")
 
 
+@query
+def airport_city(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as airports, placed by their number; customers' places as cities."""
+    key = F.col("s_suppkey")
+    longitude, latitude = (key * 37) % 360 - 180, (key * 53) % 179 - 89
+    place = F.when(key % 9 != 0, F.concat(longitude.cast("string"), F.lit(".25, "), latitude.cast("string"), F.lit(".5")))
+    airports = views.table(spark, sf, "supplier").select(F.col("s_name").alias("ident"), place.alias("coordinates"))
+    return _rounded(nearest.airport_cities(airports, views.temperature_raw(spark, sf)), "km")
+
+
 # -- aggregates --------------------------------------------------------------------------
 
 
