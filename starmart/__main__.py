@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--rejects", help="folder for delivered rows of other months")
     parser.add_argument("--load", action="store_true", help="also load the contract tables")
     parser.add_argument("--months", nargs="*", help="load the fact of these only: 2016-04 ...")
+    parser.add_argument("--publish", metavar="ROOT", help="publish the four tables as one version")
     parser.add_argument("--prefix", default="", help="prefix of the contract tables' names")
     parser.add_argument("--hive", action="store_true", help="keep tables in a Hive metastore")
     parser.add_argument("--input-bytes", type=int, help="size of the largest source")
@@ -46,6 +47,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.load:
         names = star.load_star(spark, tables, args.prefix, months=_months(args.months) or refresh)
         tables = {name: spark.table(table) for name, table in names.items()}
+    if args.publish:
+        months = _months(args.months) or refresh
+        version = star.publish_star(spark, tables, args.publish, months, full_checks=True)
+        print(f"published version {version}")
+        tables = star.star_snapshots(spark, args.publish).read()
     # A row per table and check.
     report = quality.check_star(tables, STAR).collect()
     for row in report:

@@ -108,6 +108,16 @@ def test_command_line(spark, sources, tmp_path, capsys):
     assert spark.table("cli_immigration").count() == 2
 
 
+def test_command_line_publishes_versions(spark, sources, tmp_path, capsys):
+    names = ("immigration", "temperature", "demographics", "country_lookup", "state_lookup")
+    paths = [v for n in names for v in (f"--{n.replace('_', '-')}", getattr(sources, n))]
+    root = str(tmp_path / "published")
+    for version in (1, 2):
+        assert main([*paths, "--out", str(tmp_path / "o"), "--publish", root]) == 0
+        assert f"published version {version}" in capsys.readouterr().out
+    assert star.star_snapshots(spark, root).read()["immigration"].count() == 3
+
+
 def test_command_line_fails_on_a_failed_check(spark, sources, tmp_path, capsys):
     (tmp_path / "states.csv").write_text("Code,State\nCA,CALIFORNIA\n")
     names = ("immigration", "temperature", "demographics", "country_lookup", "state_lookup")
