@@ -255,3 +255,35 @@ def test_a_text_of_very_many_matches(spark):
         (got,) = df.select(secret_scans.spans_of("body", secret_scans.ASSIGN)).first()
         assert [(s["s"], s["e"]) for s in got] == [(len(unit) * i + 2, len(unit) * i + 21) for i in range(n)]
         assert time.time() - began < 10
+
+
+def test_linked_spans_equal_brute_force(spark):
+    """Parts at distances around the scope and the edges of its cells, in texts of many parts."""
+    rng = random.Random(23)
+    scope = secret_scans.SCOPE
+    parts = {"weak": "pwd=ab12", "id": "user=bob", "end": "host=a.b", "base": "token=abcdefgh12"}
+    texts = []
+    for _ in range(400):
+        text = "." * rng.choice([0, 1, 100, scope - 1, scope, 2 * scope - 3])
+        for _ in range(rng.randrange(3, 12)):
+            name = rng.choice(["weak", "weak", "id", "end", "base"])
+            text += " " + parts[name] + " "
+            to_next = rng.choice([0, 0, 5, 5, 40, 110, 120, scope - 1, scope, scope + 1]) - len(parts[name]) - 2
+            text += "." * max(to_next, 0)
+        texts.append(text)
+
+    def linked(text):
+        def found(pattern):
+            return [m.span() for m in re.finditer(pattern.replace(r"\x20", " "), text)]
+
+        base = [m.span() for m in re.finditer(secret_scans.ASSIGN, text) if len(m.group(2)) >= 8]
+        ids, ends = ([s for s, _ in found(p)] for p in (secret_scans.IDENTIFIER, secret_scans.ENDPOINT))
+        return [
+            (s, e) for s, e in found(secret_scans.WEAK)
+            if not any(b < e and s < f for b, f in base)
+            and any(abs(s - i) <= scope for i in ids) and any(abs(s - i) <= scope for i in ends)]
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc"]["doc_id"]: [(x["s"], x["e"]) for x in r["spans"] if x["k"] == 3] for r in secret_scans.find(docs).collect()}
+    want = {i: linked(t) for i, t in enumerate(texts)}
+    assert got == want and 50 < sum(map(bool, want.values())) < 350

@@ -603,3 +603,29 @@ def test_pipeline_of_odd_rows_and_of_none(spark, odd_docs, no_docs, tmp_path):
     assert sorted(whole, key=str) == [500, 502, 502, None]
     assert len(got) <= len(whole) + 2
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_scores_equal_a_numpy_fit(spark, sf_dir):
+    """Means, shrunk covariances and Mahalanobis distances, straight from the rows; labels twice."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labels = labels.select("doc_id", "quality").union(labels.select("doc_id", "quality").where("doc_id % 3 = 0"))
+    stats = {r["doc_id"]: np.array(r["x"]) for r in quality_classifier.measured(docs).collect()}
+    known = [(r["doc_id"], r["quality"]) for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    x, y = np.array([stats[d] for d, _ in known]), np.array([q for _, q in known])
+    center, scale = x.mean(axis=0), np.sqrt(np.maximum(x.var(axis=0), 1e-9))
+    z = (x - center) / scale
+    own = [z[y == k] for k in (0, 1)]
+    scatter = [(o - o.mean(axis=0)).T @ (o - o.mean(axis=0)) for o in own]
+    pooled = sum(scatter) / (len(z) - 2)
+    logs = []
+    every = (np.array(list(stats.values())) - center) / scale
+    for o, s in zip(own, scatter, strict=True):
+        w = max(0.2, min(1, z.shape[1] / len(o)))
+        cov = (1 - w) * s / (len(o) - 1) + w * pooled
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / len(cov) * np.eye(len(cov))
+        away = every - o.mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)
+        logs.append(np.log(len(o) / len(z)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * distance)
+    want = dict(zip(stats, 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -60, 60))), strict=True))
+    for r in quality_classifier.classify(docs, labels).collect():
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-6
