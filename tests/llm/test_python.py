@@ -1,5 +1,6 @@
 """Near-duplicates, passages, packing, the classifier, pages and pieces against brute force."""
 
+import os
 import random
 import re
 import zlib
@@ -629,3 +630,33 @@ def test_scores_equal_a_numpy_fit(spark, sf_dir):
     want = dict(zip(stats, 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -60, 60))), strict=True))
     for r in quality_classifier.classify(docs, labels).collect():
         assert abs(r["score"] - want[r["doc_id"]]) < 1e-6
+
+
+def test_passages_are_compared_once_and_tables_removed(spark, monkeypatch):
+    rng = random.Random(11)
+    shared = words(rng, 120)
+    texts = [words(rng, 40) + shared + words(rng, 40) for _ in range(6)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    written, folders = passages.written, {}
+
+    def kept(df, label, *rest):
+        out = written(df, label, *rest)
+        folders.setdefault(label, set()).add(out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/"))
+        return out
+
+    monkeypatch.setattr(passages, "written", kept)
+    found = passages.repeats(passages.searched(docs))
+    assert {(r["a"], r["b"]) for r in found.collect()} >= {(0, i) for i in range(1, 6)}
+    # Every reader of what was found reads tables: no comparison is left to be run again.
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "PythonMapInArrow" not in passages.spans(found)._jdf.queryExecution().executedPlan().toString()
+    assert folders["windows"] and folders["joint_keys"]
+    assert not [p for label in ("windows", "joint_keys", "members") for p in folders[label] if os.path.exists(p)]
+
+
+def test_window_starts_of_several_rows():
+    rng = np.random.default_rng(9)
+    values = rng.integers(0, 30, (4, 300)).astype(np.uint64)
+    row, *rest = passages.all_window_starts(values)
+    for i in range(4):
+        assert [x[row == i].tolist() for x in rest] == [x.tolist() for x in passages.window_starts(values[i])]
