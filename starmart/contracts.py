@@ -127,6 +127,38 @@ DATE = TableContract(
 STAR = {c.name: c for c in (IMMIGRATION, COUNTRY, STATE, DATE)}
 
 
+def _is_whole(contract: TableContract, name: str) -> bool:
+    whole = isinstance(contract.schema[name].dataType, (IntegerType, LongType))
+    return whole and name not in contract.date_text
+
+
+def _value(df: DataFrame, contract: TableContract, name: str, number: Column) -> Column:
+    """A contract column's value as it is loaded; ``number`` is the column as a double."""
+    column = F.col(f"`{name}`")
+    target = contract.schema[name].dataType
+    source = next(f.dataType for f in df.schema if f.name.lower() == name.lower())
+    if name in contract.date_text:
+        if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
+            return column.cast("date").cast("string")
+        if isinstance(source, StringType):
+            return date_from_text(column).cast("string")
+        return F.lit(None).cast("string")
+    if not _is_whole(contract, name):
+        return column.try_cast(target)
+    if not isinstance(source, StringType):
+        return F.coalesce(column.try_cast(target), number.try_cast(target))
+    # Text such as '4.0' is no int to Spark, which finds that out by an exception for each value.
+    # A double has all whole numbers up to 2**53 exactly.
+    exact = F.when(F.abs(number) < 2.0**53, number.try_cast(target))
+    return F.coalesce(exact, column.try_cast(target), number.try_cast(target))
+
+
+def _fraction(contract: TableContract, name: str, number: Column) -> Column:
+    """Whether a number is not whole."""
+    whole = number.try_cast(contract.schema[name].dataType)
+    return F.coalesce(number != whole.cast("double"), F.lit(False))
+
+
 def fitted(df: DataFrame, contract: TableContract, name: str) -> tuple[Column, Column]:
     """A contract column's value as it is loaded, and whether a filled value does not fit.
 
@@ -135,24 +167,12 @@ def fitted(df: DataFrame, contract: TableContract, name: str) -> tuple[Column, C
     date, a timestamp or text of that very form, and not from numbers.
     """
     column = F.col(f"`{name}`")
-    target = contract.schema[name].dataType
-    source = next(f.dataType for f in df.schema if f.name.lower() == name.lower())
-    if name in contract.date_text:
-        if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
-            value = column.cast("date").cast("string")
-        elif isinstance(source, StringType):
-            value = date_from_text(column).cast("string")
-        else:
-            value = F.lit(None).cast("string")
-    elif isinstance(target, (IntegerType, LongType)):
-        number = double_from_text(column)
-        whole = number.try_cast(target)
-        value = F.coalesce(column.try_cast(target), whole)
-        fraction = F.coalesce(number != whole.cast("double"), F.lit(False))
-        return value, column.isNotNull() & (value.isNull() | fraction)
-    else:
-        value = column.try_cast(target)
-    return value, column.isNotNull() & value.isNull()
+    number = double_from_text(column)
+    value = _value(df, contract, name, number)
+    lost = value.isNull()
+    if _is_whole(contract, name):
+        lost = lost | _fraction(contract, name, number)
+    return value, column.isNotNull() & lost
 
 
 def _present(df: DataFrame, contract: TableContract) -> None:
@@ -175,12 +195,25 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     value that does not fit stops the job that meets it.
     """
     _present(df, contract)
+    names = [f.name for f in contract.schema]
+    whole = [n for n in names if _is_whole(contract, n)]
+    # Step by step: in a single expression a value's parsing stands wherever the value does, which
+    # for a wide table is more code than the JVM takes.
+    own = df.select(*[F.col(f"`{n}`").alias(n) for n in names])
+    numbers = own.select("*", *[double_from_text(F.col(f"`{n}`")).alias(f"{n} number") for n in whole])
+    number = {n: F.col(f"`{n} number`") for n in whole}
+    values = numbers.select(
+        *[F.col(f"`{n}`") for n in names],
+        *[_value(own, contract, n, number.get(n)).alias(f"{n} value") for n in names],
+        *[_fraction(contract, n, number[n]).alias(f"{n} fraction") for n in whole],
+    )
     columns = []
     for f in contract.schema:
-        value, misfit = fitted(df, contract, f.name)
-        text = F.concat(
-            F.lit(f"{contract.name}.{f.name} cannot take "), F.col(f"`{f.name}`").cast("string")
-        )
-        checked = F.when(misfit, F.raise_error(text).cast(f.dataType)).otherwise(value)
+        column, value = F.col(f"`{f.name}`"), F.col(f"`{f.name} value`")
+        lost = value.isNull()
+        if f.name in number:
+            lost = lost | F.col(f"`{f.name} fraction`")
+        text = F.concat(F.lit(f"{contract.name}.{f.name} cannot take "), column.cast("string"))
+        checked = F.when(column.isNotNull() & lost, F.raise_error(text).cast(f.dataType)).otherwise(value)
         columns.append(checked.alias(f.name))
-    return df.select(*columns)
+    return values.select(*columns)

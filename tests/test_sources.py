@@ -272,3 +272,27 @@ def test_a_checked_source_without_bad_lines_or_rows(spark, tmp_path):
         out = [str(tmp_path / f"{name}-{x}") for x in ("out", "bad")]
         assert tuple(land_checked(spark, str(tmp_path / f"{name}.csv"), *out).first()) == (n, n, 0, True)
         assert spark.read.parquet(out[1]).columns == ["line", "reason"]
+
+
+def test_text_numbers_are_parsed_once(spark):
+    schema = contracts.IMMIGRATION.schema
+    row = ["4.0" if f.dataType.simpleString() == "int" else "2016-04-01" for f in schema]
+    texts = spark.createDataFrame([row], ", ".join(f"`{f.name}` string" for f in schema))
+    loaded = contracts.conform(texts, contracts.IMMIGRATION)
+    assert loaded.first()["cicid"] == 4
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString()
+    loaded_plan = [line for line in plan.split("\n") if "Project" in line]
+    # The outermost step refers to values and holds no parsing of its own.
+    assert len(loaded_plan) > 1 and "try_cast" not in loaded_plan[0]
+
+
+def test_text_numbers_keep_their_digits(spark):
+    schema = contracts.STATE.schema
+    cases = {"9007199254740993": 9007199254740993, " 7 ": 7, "7.0": 7, "-9223372036854775808": -(2**63), "1e3": 1000, None: None}
+    rows = [["x"] * 2 + [t] * 10 for t in cases]
+    texts = spark.createDataFrame(rows, ", ".join(f"`{f.name}` string" for f in schema))
+    got = [r["White"] for r in contracts.conform(texts, contracts.STATE).collect()]
+    assert sorted(got, key=str) == sorted(cases.values(), key=str)
+    for bad in ("1.5", "four"):
+        with pytest.raises(Exception, match="cannot take"):
+            contracts.conform(texts.limit(1).withColumn("White", F.lit(bad)), contracts.STATE).collect()
