@@ -19,8 +19,15 @@ MONTH = ("i94yr", "i94mon")
 
 def in_partitions(partitions: Sequence[tuple], partition_by: Sequence[str] = MONTH) -> Column:
     """Whether a row lies in one of the named partitions; one with a NULL key lies in none."""
-    keys = [F.col(f"`{c}`") for c in partition_by]
-    wanted = [reduce(and_, [k == v for k, v in zip(keys, p, strict=True)]) for p in partitions]
+    # Values of the last key stand together, so that a plan which puts a key's expression in its
+    # place repeats that for each of the first keys' values, not for each partition.
+    heads: dict[tuple, list] = {}
+    for p in partitions:
+        *head, last = [v for _, v in zip(partition_by, p, strict=True)]
+        if None not in p:
+            heads.setdefault(tuple(head), []).append(last)
+    *firsts, last = [F.col(f"`{c}`") for c in partition_by]
+    wanted = [reduce(and_, [k == v for k, v in zip(firsts, head, strict=True)], last.isin(found)) for head, found in heads.items()]
     return F.coalesce(reduce(or_, wanted, F.lit(False)), F.lit(False))
 
 

@@ -296,3 +296,14 @@ def test_text_numbers_keep_their_digits(spark):
     for bad in ("1.5", "four"):
         with pytest.raises(Exception, match="cannot take"):
             contracts.conform(texts.limit(1).withColumn("White", F.lit(bad)), contracts.STATE).collect()
+
+
+def test_months_name_each_year_once(spark):
+    from starmart.sources.tables import in_partitions
+
+    months = [(y, m) for y in range(1992, 1999) for m in range(1, 13) if (y, m) != (1995, 6)]
+    column = in_partitions(months)
+    assert str(column).count("i94yr") == 7
+    rows = spark.createDataFrame([(1995, 6), (1995, 7), (None, 7), (1995, None), (2000, 7)], "i94yr int, i94mon int")
+    assert [tuple(r) for r in rows.where(column).collect()] == [(1995, 7)]
+    assert rows.where(in_partitions([])).isEmpty() and rows.where(in_partitions([(1995, None)])).isEmpty()
