@@ -224,6 +224,22 @@ def test_documents_joined_by_one_passage_are_compared_for_another(spark, monkeyp
     assert all(places <= got[d] for d, places in want.items())
 
 
+def test_pairs_of_a_key_are_compared_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(passages, "TILE_DOCS", 8)
+    rng = random.Random(23)
+    passage = words(rng, 60)
+    held = spark.createDataFrame(
+        [(d, " ".join(words(rng, 20 + d) + passage[: 60 - d % 15] + words(rng, 20))) for d in range(40)], "doc long, text string")
+    pairs = spark.createDataFrame(
+        [(0, a, d) for d in range(40) for a in range(d)] + [(9, 100, 101)], "key long, a long, b long")
+    got = [tuple(r) for r in passages.verified_by_key(pairs, held).collect()]
+    want = [tuple(r) for r in passages.verified(pairs.select("a", "b"), held).collect()]
+    assert sorted(got) == sorted(want) and {(r[0], r[3]) for r in got} >= {(0, 1), (15, 30)}
+    # A text goes to few tiles, whatever the number of its pairs, and no tile is large.
+    tiles = passages.tiled(pairs).selectExpr("tile", "explode(array(a, b)) AS doc").distinct().groupBy("tile").count().collect()
+    assert sum(r["count"] for r in tiles) <= 2 * 5 * 40 + 2 < pairs.count() and max(r["count"] for r in tiles) <= 32
+
+
 def test_odd_rows_in_passages(spark, odd_docs, no_docs):
     assert passages.spans(passages.repeats(passages.searched(no_docs))).count() == 0
     long = " ".join(words(random.Random(3), 90))
