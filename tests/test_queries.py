@@ -63,3 +63,11 @@ def test_readings_are_summed_by_hash(spark, plan, columns):
     lines = [line for line in text.splitlines() if "Aggregate(" in line]
     per_city = [line for line in lines if "City" in line.split("functions=")[0]]
     assert len(per_city) == 2 and all("HashAggregate" in line for line in per_city)
+
+
+def test_star_checks_join_the_arrivals_once(spark, monkeypatch):
+    made = []
+    real = views.visits_raw
+    monkeypatch.setattr(views, "visits_raw", lambda *a: made.append(a) or real(*a))
+    rows = QUERIES["star_checks"](spark, SF_DIR).collect()
+    assert len(made) == 1 and all(r["passed"] for r in rows if r["table"] == "date")
