@@ -15,6 +15,7 @@ from starmart.llm.html_dom import decoded, features, parse
 from starmart.llm.queries import QUERIES
 from starmart.llm.shingles import components
 from starmart.llm.store import table
+from starmart.session import scratch_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -676,3 +677,37 @@ def test_window_starts_of_several_rows():
     row, *rest = passages.all_window_starts(values)
     for i in range(4):
         assert [x[row == i].tolist() for x in rest] == [x.tolist() for x in passages.window_starts(values[i])]
+
+
+def test_the_edge_of_a_passage_makes_no_pairs(spark):
+    """Texts that share one passage go on in their own ways: a key at its edge is of no other passage."""
+    rng = random.Random(53)
+    passage = words(rng, 68)
+    texts = {i: words(rng, 30 + 3 * (i % 7)) + passage + words(rng, 60) for i in range(40)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = passages.repeats(passages.searched(docs))
+    assert found.select("a", "b").distinct().count() < 3 * len(texts)
+    got = defaultdict(set)
+    for r in passages.spans(found).where("NOT kept").collect():
+        got[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    for i in range(1, 40):
+        at = 30 + 3 * (i % 7)
+        assert set(range(at, at + 68)) <= got[i] <= set(range(at - 2, at + 70))
+
+
+def test_stages_leave_no_tables_behind(spark):
+    rng = random.Random(59)
+    passage = words(rng, 80)
+    rows = [(i, " ".join(words(rng, 90) + passage), "en", "s", 1) for i in range(6)]
+    rows += [(9, rows[1][1] + " end", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    folder = os.path.dirname(scratch_dir(spark, "any").removeprefix("file:"))
+    before = set(os.listdir(folder))
+    left = {}
+    for stage, label, count in ((minhash.near_dedup_stage, "groups", 6), (passages.substring_dedup_stage, "cuts", 6)):
+        docs = stage(spark, docs, "")
+        assert {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before} == {label}
+        before = set(os.listdir(folder))
+        left[label] = {r["doc_id"]: len(r["text"].split()) for r in docs.collect()}
+        assert len(left[label]) == count
+    assert left["cuts"] == {i: 90 if i else 170 for i in range(6)}
